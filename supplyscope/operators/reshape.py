@@ -23,15 +23,14 @@ def explode_entities(df: DataFrame, col: str = "details") -> DataFrame:
 def explode_matches(df: DataFrame, col: str = "details") -> DataFrame:
     """One row per complete and per single match, labelled in ``message``."""
     details = parse_details(F.col(col), f"complete_matches {_MATCH}, single_matches {_MATCH}")
-    labelled = [
-        F.transform(
-            F.coalesce(details[field], F.array().cast(_MATCH)),
-            lambda m, label=label: F.struct(F.lit(label).alias("message"), m.alias("match")),
-        )
-        for field, label in (("complete_matches", "complete_match"), ("single_matches", "single_match"))
-    ]
+
+    def labelled(field: str, label: str) -> Column:
+        matches = F.coalesce(details[field], F.array().cast(_MATCH))
+        return F.transform(matches, lambda m: F.struct(F.lit(label).alias("message"), m.alias("match")))
+
     kept = [c for c in df.columns if c != col]
-    rows = df.withColumn("__m", F.explode(F.concat(*labelled)))
+    both = F.concat(labelled("complete_matches", "complete_match"), labelled("single_matches", "single_match"))
+    rows = df.withColumn("__m", F.explode(both))
     return rows.select(*kept, "__m.message", "__m.match.*")
 
 
