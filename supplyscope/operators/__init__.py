@@ -20,6 +20,7 @@ from .groups import (
 )
 from .joins import (
     coverage_grid,
+    enrich_roles,
     exists_flag,
     in_set,
     inner_on,

@@ -200,12 +200,25 @@ def coverage_grid(
     return found.unionByName(filled)
 
 
-def lookup_by_dataset(
-    df: DataFrame, lookup: DataFrame, entity_col: str, value: str, name: str, counted: DataFrame | None = None
+def enrich_roles(
+    df: DataFrame, details: DataFrame, keys: Mapping[str, str], roles: Mapping[str, str], null_safe: bool = True
 ) -> DataFrame:
+    """The same details looked up once per role.
+
+    ``keys`` maps each key column of ``details`` to its column in ``df``, with ``{role}`` for the role's
+    name; ``roles`` maps a role to the prefix its details get. ``details`` has one row per key.
+    """
+    for role, prefix in roles.items():
+        own = {k: c.format(role=role) for k, c in keys.items()}
+        renamed = details.withColumnsRenamed({c: own.get(c, prefix + c) for c in details.columns})
+        df = left_on(df, renamed, list(own.values()), null_safe)
+    return df
+
+
+def lookup_by_dataset(df: DataFrame, lookup: DataFrame, value: str, name: str) -> DataFrame:
     """Value from the lookup of the row's own dataset.
 
     ``lookup`` gathers the lookups of all datasets and holds one row per (dataset, entity).
     """
-    renamed = lookup.select("dataset", F.col("entity").alias(entity_col), F.col(value).alias(name))
-    return spread_join(df, renamed, ["dataset", entity_col], "left", null_safe=True, counted=counted)
+    values = lookup.select("dataset", "entity", F.col(value).alias(name))
+    return left_on(df, values, ["dataset", "entity"], null_safe=True)

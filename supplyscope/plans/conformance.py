@@ -31,7 +31,7 @@ from ..operators import (
     spec_fields,
     spread_join,
 )
-from ..sources import read_specification
+from ..sources import materialise, read_specification
 from .constants import AUTO_FIELDS, AUTO_FIELDS_UNLESS_TREE, ODP_DATASETS, SPATIAL_DATASETS
 from .supply import cohort_provisions
 
@@ -127,7 +127,8 @@ def scored_fields(tables: Mapping[str, DataFrame], datasets: Sequence[str] = tup
     Errors are counted per resource, times the number of rows sharing that resource. Rows are numbered
     before those with an unknown key are left out.
     """
-    rows = field_rows(tables, datasets)
+    # Numbering and counting each need the rows twice.
+    rows = materialise(field_rows(tables, datasets), "field-rows")
     provisions = cohort_provisions(tables, ["organisation"]).select("organisation", "cohort", "cohort_start_date")
     numbered = number_within(rows, ["organisation", "dataset"], "rowid", "endpoint_no.", ["licence"])
     placed = left_on(numbered, provisions, ["organisation", "cohort"], null_safe=True)

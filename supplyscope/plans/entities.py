@@ -11,6 +11,7 @@ from ..functions import same, to_long
 from ..operators import (
     dedupe,
     ended,
+    enrich_roles,
     exists_flag,
     explode_entities,
     explode_matches,
@@ -22,8 +23,8 @@ from ..operators import (
     lookup_by_dataset,
     sort_report,
     union_keys,
-    with_prefix,
 )
+from ..sources import materialise
 from .constants import ODP_PROJECT, SPATIAL_DATASETS
 from .endpoints import ended_organisations
 
@@ -38,8 +39,9 @@ def deleted_entities(tables: Mapping[str, DataFrame]) -> DataFrame:
     organisation = tables["organisation"].select(
         "organisation", F.col("entity").alias("organisation_entity"), F.col("name").alias("organisation_name")
     )
-    # Only entities that some row asks for need to be shuffled and tested for repeats.
+    # Only entities that some row asks for need to be kept and tested for repeats.
     known = in_set(tables["entity"].select("dataset", "entity", "name", "reference"), listed, ["dataset", "entity"])
+    known = materialise(known, "deleted-entities")
     named = left_on(listed, organisation, ["organisation"], null_safe=True)
     found = left_join_m1(named, known, ["dataset", "entity"], what="entity")
     return found.select(
@@ -47,63 +49,58 @@ def deleted_entities(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-_ENTITY_COLUMNS = ["dataset", "entity", "name", "organisation_entity", "entry_date", "end_date", "geometry"]
-_SIDE_COLUMNS = ["name", "organisation", "organisation_name", "entry_date", "end_date"]
-
-
-def _side(pairs: DataFrame, entity: DataFrame, organisation: DataFrame, side: str) -> DataFrame:
-    """The pairs with the details of their entity in one role."""
-    role = f"entity_{side}"
-    details = with_prefix(entity, f"{role}_").withColumnsRenamed({f"{role}_dataset": "dataset", f"{role}_entity": role})
-    owner = organisation.select(
-        F.col("entity").alias(f"{role}_organisation_entity"), F.col("name").alias(f"{role}_organisation_name")
+def entity_details(tables: Mapping[str, DataFrame], wanted: DataFrame, geometry: bool) -> DataFrame:
+    """The wanted (dataset, entity) keys with the entity's own details, its organisation's name, and
+    the organisation that the dataset's lookup gives for it."""
+    keys = ["dataset", "entity"]
+    columns = [*keys, "name", "organisation_entity", "entry_date", "end_date", *(["geometry"] if geometry else [])]
+    spatial = tables["entity"].filter(F.col("dataset").isin(SPATIAL_DATASETS)).select(*columns)
+    known = materialise(in_set(spatial, wanted, keys), "duplicate-entities")
+    organisation = tables["organisation"].select(
+        F.col("entity").alias("organisation_entity"), F.col("name").alias("organisation_name")
     )
-    found = left_join_m1(pairs, details, ["dataset", role], what=role)
-    owned = left_join_m1(found, owner, [f"{role}_organisation_entity"], what="organisation")
-    organisation_id = F.coalesce(F.col(f"{role}_organisation_entity"), F.col(f"organisation_entity_{side}"))
-    return owned.withColumn(f"{role}_organisation", organisation_id)
+    lookup = tables["lookup"].filter(F.col("dataset").isin(SPATIAL_DATASETS))
+    first = dedupe(in_set(lookup, wanted, keys), keys, ["rowid"], "first")
+
+    found = left_join_m1(wanted, known, keys, what="entity")
+    owned = left_join_m1(found, organisation, ["organisation_entity"], what="organisation")
+    return lookup_by_dataset(owned, first, "organisation", "lookup_organisation")
 
 
 def duplicate_pairs(tables: Mapping[str, DataFrame], geometry: bool = False) -> DataFrame:
     """Pairs of entities with the same geometry, with both sides' details and owners.
 
     The organisation's name belongs to the entity's own organisation; the organisation id falls back
-    to the one the check reported.
+    to the one the check reported. Details are gathered once per entity, however many pairs it is in,
+    and then looked up in two roles.
     """
     checks = tables["expectation"].filter(F.col("operation") == "duplicate_geometry_check")
     ids = ["entity_a", "organisation_entity_a", "entity_b", "organisation_entity_b"]
     pairs = explode_matches(checks.select("dataset", "operation", "details"))
-    pairs = pairs.withColumns({c: to_long(F.col(c)) for c in ids})
+    pairs = materialise(pairs.withColumns({c: to_long(F.col(c)) for c in ids}), "duplicate-pairs")
 
     wanted = union_keys(
         pairs.select("dataset", F.col("entity_a").alias("entity")),
         pairs.select("dataset", F.col("entity_b").alias("entity")),
         ["dataset", "entity"],
     )
-    columns = _ENTITY_COLUMNS if geometry else [c for c in _ENTITY_COLUMNS if c != "geometry"]
-    spatial = tables["entity"].filter(F.col("dataset").isin(SPATIAL_DATASETS)).select(*columns)
-    entity = in_set(spatial, wanted, ["dataset", "entity"])
-    organisation = tables["organisation"]
-    found = pairs
-    for side in ("a", "b"):
-        found = _side(found, entity, organisation, side)
-
-    lookup = tables["lookup"].filter(F.col("dataset").isin(SPATIAL_DATASETS))
-    lookup = dedupe(lookup, ["dataset", "entity"], ["rowid"], "first")
-    for side in ("a", "b"):
-        found = lookup_by_dataset(
-            found, lookup, f"entity_{side}", "organisation", f"lookup_org_{side}", counted=pairs
-        )
+    details = materialise(entity_details(tables, wanted, geometry), "duplicate-details")
+    roles = {side: f"entity_{side}_" for side in ("a", "b")}
+    found = enrich_roles(pairs, details, {"dataset": "dataset", "entity": "entity_{role}"}, roles)
+    found = found.withColumnsRenamed({f"entity_{side}_lookup_organisation": f"lookup_org_{side}" for side in roles})
+    owner = {
+        f"entity_{side}_organisation": F.coalesce(f"entity_{side}_organisation_entity", f"organisation_entity_{side}")
+        for side in roles
+    }
+    found = found.withColumns(owner)
 
     odp = tables["provision"].filter(F.col("project") == ODP_PROJECT)
     members = odp.select(F.col("organisation").alias("lookup_org_b"))
     flagged = exists_flag(found, members, ["lookup_org_b"], "in_odp").withColumn(
         "lookup_same_org", same(F.col("lookup_org_a"), F.col("lookup_org_b"))
     )
-    sides = []
-    for side in ("a", "b"):
-        sides += [f"entity_{side}", *[f"entity_{side}_{c}" for c in _SIDE_COLUMNS]]
-        sides += [f"entity_{side}_geometry"] if geometry else []
+    shown = ["name", "organisation", "organisation_name", "entry_date", "end_date", *(["geometry"] if geometry else [])]
+    sides = [c for side in ("a", "b") for c in (f"entity_{side}", *[f"entity_{side}_{x}" for x in shown])]
     return flagged.select(
         "dataset", "operation", "message", *sides, "lookup_org_a", "lookup_org_b", "lookup_same_org", "in_odp"
     )

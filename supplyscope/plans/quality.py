@@ -37,6 +37,7 @@ from ..operators import (
     sorted_distinct,
     union_all,
 )
+from ..sources import materialise
 from .constants import (
     AUTHORITATIVE_STEP,
     BOUNDARY_CRITERION,
@@ -155,23 +156,17 @@ def issue_marks(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def expectation_marks(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Failed expectations of live planning authorities, as marks against two fixed criteria."""
-    failed = tables["expectation"].filter(F.col("passed") == "False")
-    lpas = live_lpas(tables)
-    count_failed = failed.filter(F.col("name") == COUNT_EXPECTATION).select("organisation").distinct()
-    outside = failed.filter(like_ci(F.col("name"), "%outside%") & ~like_ci(F.col("message"), "%error%"))
-    outside = outside.select("organisation", F.col("dataset").alias("pipeline")).distinct()
-
-    counted = in_set(lpas, count_failed, ["organisation"])
-    bounded = inner_on(lpas, outside, ["organisation"])
-    columns = ["lpa_code", *_OWNER]
-    return union_all(
-        counted.withColumn("pipeline", F.lit("conservation-area")).select(
-            *columns, F.lit(COUNT_CRITERION).alias("quality_criteria"), F.lit(EXPECTATION_LEVEL).alias("quality_level")
-        ),
-        bounded.select(
-            *columns, F.lit(BOUNDARY_CRITERION).alias("quality_criteria"), F.lit(EXPECTATION_LEVEL).alias("quality_level")
-        ),
-    )
+    # The first name does not contain the second's text, so a row counts against one of them.
+    is_count = F.col("name") == COUNT_EXPECTATION
+    is_outside = like_ci(F.col("name"), "%outside%") & ~like_ci(F.col("message"), "%error%")
+    failed = tables["expectation"].filter((F.col("passed") == "False") & (is_count | is_outside))
+    marks = failed.select(
+        "organisation",
+        F.when(is_count, "conservation-area").otherwise(F.col("dataset")).alias("pipeline"),
+        F.when(is_count, COUNT_CRITERION).otherwise(F.lit(BOUNDARY_CRITERION)).alias("quality_criteria"),
+        F.lit(EXPECTATION_LEVEL).alias("quality_level"),
+    ).distinct()
+    return inner_on(marks, live_lpas(tables), ["organisation"])
 
 
 # --- rules -------------------------------------------------------------------------------------
@@ -180,7 +175,8 @@ def expectation_marks(tables: Mapping[str, DataFrame]) -> DataFrame:
 def entity_ratings(tables: Mapping[str, DataFrame], pipelines: DataFrame) -> DataFrame:
     """Per pipeline and organisation: whether any entity is of authoritative quality or better.
 
-    Null where no entity has a known quality. Only pipelines with a current endpoint are looked at.
+    Null where no entity has a known quality. Only the given pipelines are looked at. The result is
+    used for three checks, so it is written once.
     """
     quality = tables["quality"].select("quality", "priority")
     authoritative = quality.filter(F.col("quality") == "authoritative").select("priority").scalar()
@@ -188,13 +184,13 @@ def entity_ratings(tables: Mapping[str, DataFrame], pipelines: DataFrame) -> Dat
     owned = entity.filter(~missing(entity, "organisation_entity")).select(
         F.col("dataset").alias("pipeline"), "organisation_entity", "quality"
     )
-    listed = in_set(owned, pipelines, ["pipeline"])
-    # Reduced to distinct qualities per supply before priorities are looked up.
-    qualities = listed.groupBy("pipeline", "organisation_entity", "quality").agg(F.count(F.lit(1)).alias("n"))
-    rated = left_on(qualities, quality, ["quality"])
-    return group_any(
+    # Reduced to distinct qualities per supply before anything is looked up.
+    qualities = owned.groupBy("pipeline", "organisation_entity", "quality").agg(F.count(F.lit(1)).alias("n"))
+    rated = left_on(in_set(qualities, pipelines, ["pipeline"]), quality, ["quality"])
+    ratings = group_any(
         rated, ["pipeline", "organisation_entity"], F.col("priority") >= authoritative, "is_authoritative"
     )
+    return materialise(ratings, "entity-ratings")
 
 
 def _with_codes(ratings: DataFrame, organisations: DataFrame) -> DataFrame:
@@ -210,7 +206,7 @@ def authoritative_rows(ratings: DataFrame, organisations: DataFrame) -> DataFram
 
 def authoritative_lookup(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The authoritative answers for all pipelines with a current, collected endpoint."""
-    pipelines = current_endpoints(tables).select("pipeline").dropna().distinct()
+    pipelines = current_endpoints(tables).select("pipeline").distinct()
     return authoritative_rows(entity_ratings(tables, pipelines), scored_organisations(tables))
 
 
@@ -267,16 +263,27 @@ def readiness(levels: DataFrame, area_datasets: Sequence[str] = tuple(SPATIAL_DA
 # --- reports -----------------------------------------------------------------------------------
 
 
-def _criteria(marks: DataFrame, criteria: Sequence[str] | None) -> list[str]:
-    return list(criteria) if criteria is not None else distinct_values(marks, "quality_criteria")
-
-
 def _flag_texts(criteria: Sequence[str]) -> dict[str, Column]:
     """Criteria columns as TRUE where the issue occurred, the checks as they are."""
     texts = {c: bool_text(F.col(f"`{c}`"), invert=True) for c in criteria}
     return texts | {c: bool_text(F.col(c)) for c in _CHECKS}
 
 
+def supply_summary(marks: DataFrame, keys: Sequence[str], criteria: Sequence[str], *extra: Column) -> DataFrame:
+    """One row per supply with all that the reports need of its marks. Written once, used several times."""
+    summary = marks.groupBy(*keys).agg(
+        F.min("quality_level").alias("severity_level"),
+        *criteria_flags("quality_criteria", "quality_level", criteria),
+        *extra,
+    )
+    return materialise(summary, "supply-summary")
+
+
+def criteria_matrix(summary: DataFrame, criteria: Sequence[str]) -> DataFrame:
+    """One row per owner; a criterion holds if it holds in all of the owner's summary rows."""
+    return summary.groupBy(*_OWNER).agg(*[F.bool_and(f"`{c}`").alias(c) for c in criteria])
+
+
 def quality_single_source(
     tables: Mapping[str, DataFrame], as_of: dt.date | None = None, criteria: Sequence[str] | None = None
 ) -> DataFrame:
@@ -286,21 +293,16 @@ def quality_single_source(
     """
     resources = supplied_resources(tables, single_source_datasets(tables), as_of)
     marked = left_on(resources, issue_marks(tables), ["resource"])
-    names = _criteria(marked, criteria)
+    names = list(criteria) if criteria is not None else distinct_values(marked, "quality_criteria")
+    oldest = F.max("resource_age_days").alias("resource_age_days")
+    summary = supply_summary(marked, ["collection", *_OWNER], names, oldest)
 
-    # One row per supply and collection, with everything the report needs.
-    summary = marked.groupBy("collection", *_OWNER).agg(
-        F.min("quality_level").alias("severity_level"), *criteria_flags("quality_criteria", "quality_level", names)
-    )
-    organisations = scored_organisations(tables)
-    ratings = entity_ratings(tables, resources.select("pipeline").distinct())
-    ages = grouped(resources, _SUPPLY, F.max("resource_age_days").alias("resource_age_days"), dropna=False)
-    levels = left_on(
-        with_levels(summary.select("collection", *_OWNER, "severity_level"), ratings, organisations),
-        ages,
-        _SUPPLY,
-        null_safe=True,
+    ratings = entity_ratings(tables, summary.select("pipeline"))
+    levels = with_levels(
+        summary.select("collection", *_OWNER, "severity_level"), ratings, scored_organisations(tables)
     )
+    ages = grouped(summary, _SUPPLY, oldest, dropna=False)
+    levels = left_on(levels, ages, _SUPPLY, null_safe=True)
     is_stale = F.coalesce(F.col("resource_age_days") > STALE_AFTER_DAYS, F.lit(False))
     capped = staleness_cap(F.col("quality_level"), F.col("is_authoritative"), is_stale)
     known_supply = F.col("pipeline").isNotNull() & F.col("organisation").isNotNull()
@@ -311,8 +313,7 @@ def quality_single_source(
         is_stale.alias("is_stale"),
         label_of(capped).alias("quality_level_label"),
     )
-    matrix = summary.groupBy(*_OWNER).agg(*[F.bool_and(f"`{c}`").alias(c) for c in names])
-    report = _attach(matrix, levels, [*_CHECKS, "resource_age_days", "is_stale"])
+    report = _attach(criteria_matrix(summary, names), levels, [*_CHECKS, "resource_age_days", "is_stale"])
     texts = _flag_texts(names) | {"is_stale": bool_text(F.col("is_stale"))}
     return order_columns(
         report.withColumns(texts), [*_OWNER, *names, *_CHECKS, "resource_age_days", "is_stale"], ["quality_level_label"]
@@ -339,24 +340,33 @@ def _named_provisions(tables: Mapping[str, DataFrame], columns: Sequence[str]) -
     return left_on(provisions, names, ["organisation"], null_safe=True).distinct()
 
 
-def _scored_marks(
-    tables: Mapping[str, DataFrame], datasets: Sequence[str] | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Marks of all supplies, of some datasets or of all, and the pipelines with a current endpoint."""
-    resources = supplied_resources(tables, datasets)
+def scored_marks(tables: Mapping[str, DataFrame], datasets: Sequence[str] | None = None) -> DataFrame:
+    """Marks of all supplies, of some datasets or of all, with the planning authority's code.
+
+    ``has_endpoint`` tells marks of a current endpoint from those of an expectation.
+    """
     codes = live_lpas(tables).select("lpa_code", "organisation").distinct()
-    marked = left_on(resources, issue_marks(tables), ["resource"])
-    # Down to distinct marks per supply before the planning authority's code is looked up.
+    marked = left_on(supplied_resources(tables, datasets), issue_marks(tables), ["resource"])
+    # Down to distinct marks per supply before the code is looked up.
     distinct_marks = marked.select(*_OWNER, "quality_criteria", "quality_level").distinct()
     from_issues = left_on(distinct_marks, codes, ["organisation"], null_safe=True)
     from_expectations = expectation_marks(tables)
     if datasets is not None:
         from_expectations = isin(from_expectations, "pipeline", datasets)
-    return union_all(from_issues, from_expectations), resources.select("pipeline").distinct()
+    return union_all(
+        from_issues.withColumn("has_endpoint", F.lit(True)), from_expectations.withColumn("has_endpoint", F.lit(False))
+    )
+
 
+def _scored_summary(tables: Mapping[str, DataFrame], datasets: Sequence[str], criteria: Sequence[str]) -> DataFrame:
+    has_endpoint = F.bool_or("has_endpoint").alias("has_endpoint")
+    return supply_summary(scored_marks(tables, datasets), ["lpa_code", *_OWNER], criteria, has_endpoint)
 
-def _scored_levels(tables: Mapping[str, DataFrame], summary: DataFrame, pipelines: DataFrame) -> DataFrame:
-    levels = with_levels(summary, entity_ratings(tables, pipelines), scored_organisations(tables))
+
+def _scored_levels(tables: Mapping[str, DataFrame], summary: DataFrame) -> DataFrame:
+    ratings = entity_ratings(tables, summary.filter("has_endpoint").select("pipeline"))
+    rows = summary.select("lpa_code", *_OWNER, "severity_level")
+    levels = with_levels(rows, ratings, scored_organisations(tables))
     return levels.withColumn("quality_level_label", label_of(F.col("quality_level")))
 
 
@@ -367,19 +377,17 @@ def quality_scores(tables: Mapping[str, DataFrame]) -> DataFrame:
     start date are blank for organisations outside the ODP project.
     """
     datasets = detail_datasets(tables)
-    marks, pipelines = _scored_marks(tables, datasets)
-    summary = marks.groupBy("lpa_code", *_OWNER).agg(F.min("quality_level").alias("severity_level"))
-    levels = _scored_levels(tables, summary, pipelines)
+    levels = _scored_levels(tables, _scored_summary(tables, datasets, []))
 
     cohorts = _odp_provisions(tables).select("organisation", "cohort", "start_date").distinct()
     index = ["cohort", "start_date", "organisation", "organisation_name"]
     placed = left_on(levels, cohorts, ["organisation"], null_safe=True)
     wide = pivot_labels(placed, index, "pipeline", "quality_level_label", datasets)
-    scored = left_on(wide, readiness(levels), ["organisation"])
+    wide = materialise(left_on(wide, readiness(levels), ["organisation"]), "quality-scores")
 
     expected = _named_provisions(tables, ["organisation", "cohort", "start_date"])
     absent = missing_in(expected, wide, ["cohort", "organisation"])
-    combined = fill_pivot(union_all(scored, absent), datasets, QUALITY_LABELS[0])
+    combined = fill_pivot(union_all(wide, absent), datasets, QUALITY_LABELS[0])
     report = fill_pivot(combined, ["ready_for_ODP_adoption"], "no")
     ordered = order_columns(report, [*index, *datasets], ["ready_for_ODP_adoption"])
     return sort_report(ordered, ["cohort", "organisation_name"], ["organisation", "start_date"])
@@ -388,22 +396,18 @@ def quality_scores(tables: Mapping[str, DataFrame]) -> DataFrame:
 def quality_detail(tables: Mapping[str, DataFrame], criteria: Sequence[str] | None = None) -> DataFrame:
     """One line per supply: which criteria it fails, the checks, and its level.
 
-    Expected supplies that do not exist are added as lines without data.
+    Expected supplies that do not exist are added as lines without data. ``criteria`` lists the
+    criterion columns; without it those that occur in any dataset are looked up first.
     """
     datasets = detail_datasets(tables)
-    marks, pipelines = _scored_marks(tables, datasets)
-    # Criteria that occur in any dataset are columns, whether or not they occur in these.
-    names = list(criteria) if criteria is not None else _criteria(_scored_marks(tables)[0], None)
-    summary = marks.groupBy("lpa_code", *_OWNER).agg(
-        F.min("quality_level").alias("severity_level"), *criteria_flags("quality_criteria", "quality_level", names)
-    )
-    levels = _scored_levels(tables, summary.select("lpa_code", *_OWNER, "severity_level"), pipelines)
-    matrix = summary.groupBy(*_OWNER).agg(*[F.bool_and(f"`{c}`").alias(c) for c in names])
-    report = _attach(matrix, levels, _CHECKS)
+    names = list(criteria) if criteria is not None else distinct_values(scored_marks(tables), "quality_criteria")
+    summary = _scored_summary(tables, datasets, names)
+    matrix = criteria_matrix(summary, names)
+    report = _attach(matrix, _scored_levels(tables, summary), _CHECKS)
     placed = left_on(report, _odp_provisions(tables), _SUPPLY, null_safe=True)
 
     expected = _named_provisions(tables, ["organisation", "pipeline", "cohort", "start_date"])
-    absent = missing_in(expected, matrix, _SUPPLY).withColumn("quality_level_label", F.lit(QUALITY_LABELS[0]))
+    absent = missing_in(expected, summary, _SUPPLY).withColumn("quality_level_label", F.lit(QUALITY_LABELS[0]))
     combined = union_all(placed.withColumns(_flag_texts(names)), absent)
     front = ["pipeline", "cohort", "start_date", "organisation", "organisation_name", *names, *_CHECKS]
     ordered = order_columns(combined, front, ["quality_level_label"])

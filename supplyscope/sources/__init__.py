@@ -11,7 +11,7 @@ from .readers import (
     read_specification,
 )
 from .schemas import TABLES
-from .scratch import scratch_dir
+from .scratch import materialise, scratch_dir
 from .writers import export_table, write_report, write_split
 
 __all__ = [name for name in dir() if not name.startswith("_")]
