@@ -172,15 +172,18 @@ def expectation_marks(tables: Mapping[str, DataFrame]) -> DataFrame:
 # --- rules -------------------------------------------------------------------------------------
 
 
-def entity_ratings(tables: Mapping[str, DataFrame], pipelines: DataFrame) -> DataFrame:
+def entity_ratings(
+    tables: Mapping[str, DataFrame], pipelines: DataFrame, datasets: Sequence[str] | None = None
+) -> DataFrame:
     """Per pipeline and organisation: whether any entity is of authoritative quality or better.
 
-    Null where no entity has a known quality. Only the given pipelines are looked at. The result is
-    used for three checks, so it is written once.
+    Null where no entity has a known quality. Only the given pipelines are looked at; ``datasets``, a
+    list that holds them all, lets the scan skip the entities of others. The result is used for three
+    checks, so it is written once.
     """
     quality = tables["quality"].select("quality", "priority")
     authoritative = quality.filter(F.col("quality") == "authoritative").select("priority").scalar()
-    entity = tables["entity"]
+    entity = tables["entity"] if datasets is None else isin(tables["entity"], "dataset", datasets)
     owned = entity.filter(~missing(entity, "organisation_entity")).select(
         F.col("dataset").alias("pipeline"), "organisation_entity", "quality"
     )
@@ -291,13 +294,14 @@ def quality_single_source(
 
     ``criteria`` lists the criterion columns; without it those that occur are looked up first.
     """
-    resources = supplied_resources(tables, single_source_datasets(tables), as_of)
+    datasets = single_source_datasets(tables)
+    resources = supplied_resources(tables, datasets, as_of)
     marked = left_on(resources, issue_marks(tables), ["resource"])
     names = list(criteria) if criteria is not None else distinct_values(marked, "quality_criteria")
     oldest = F.max("resource_age_days").alias("resource_age_days")
     summary = supply_summary(marked, ["collection", *_OWNER], names, oldest)
 
-    ratings = entity_ratings(tables, summary.select("pipeline"))
+    ratings = entity_ratings(tables, summary.select("pipeline"), datasets)
     levels = with_levels(
         summary.select("collection", *_OWNER, "severity_level"), ratings, scored_organisations(tables)
     )
@@ -363,8 +367,8 @@ def _scored_summary(tables: Mapping[str, DataFrame], datasets: Sequence[str], cr
     return supply_summary(scored_marks(tables, datasets), ["lpa_code", *_OWNER], criteria, has_endpoint)
 
 
-def _scored_levels(tables: Mapping[str, DataFrame], summary: DataFrame) -> DataFrame:
-    ratings = entity_ratings(tables, summary.filter("has_endpoint").select("pipeline"))
+def _scored_levels(tables: Mapping[str, DataFrame], summary: DataFrame, datasets: Sequence[str]) -> DataFrame:
+    ratings = entity_ratings(tables, summary.filter("has_endpoint").select("pipeline"), datasets)
     rows = summary.select("lpa_code", *_OWNER, "severity_level")
     levels = with_levels(rows, ratings, scored_organisations(tables))
     return levels.withColumn("quality_level_label", label_of(F.col("quality_level")))
@@ -377,7 +381,7 @@ def quality_scores(tables: Mapping[str, DataFrame]) -> DataFrame:
     start date are blank for organisations outside the ODP project.
     """
     datasets = detail_datasets(tables)
-    levels = _scored_levels(tables, _scored_summary(tables, datasets, []))
+    levels = _scored_levels(tables, _scored_summary(tables, datasets, []), datasets)
 
     cohorts = _odp_provisions(tables).select("organisation", "cohort", "start_date").distinct()
     index = ["cohort", "start_date", "organisation", "organisation_name"]
@@ -403,7 +407,7 @@ def quality_detail(tables: Mapping[str, DataFrame], criteria: Sequence[str] | No
     names = list(criteria) if criteria is not None else distinct_values(scored_marks(tables), "quality_criteria")
     summary = _scored_summary(tables, datasets, names)
     matrix = criteria_matrix(summary, names)
-    report = _attach(matrix, _scored_levels(tables, summary), _CHECKS)
+    report = _attach(matrix, _scored_levels(tables, summary, datasets), _CHECKS)
     placed = left_on(report, _odp_provisions(tables), _SUPPLY, null_safe=True)
 
     expected = _named_provisions(tables, ["organisation", "pipeline", "cohort", "start_date"])

@@ -310,7 +310,9 @@ def with_views(sql: str) -> str:
 
 def tables(spark: SparkSession, sf_dir: str, *names: str, **renamed: str) -> dict[str, DataFrame]:
     """The named domain tables; ``renamed`` offers a view under another table's name."""
-    for base in BASE_TABLES:
-        spark.read.parquet(f"{sf_dir}/{base}.parquet").createOrReplaceTempView(base)
     chosen = {n: n for n in names} | renamed
-    return {table: spark.sql(with_views(f"SELECT * FROM {view}")) for table, view in chosen.items()}
+    queries = {table: with_views(f"SELECT * FROM {view}") for table, view in chosen.items()}
+    for base in BASE_TABLES:
+        if any(re.search(rf"\b(?:FROM|JOIN)\s+{base}\b", sql) for sql in queries.values()):
+            spark.read.parquet(f"{sf_dir}/{base}.parquet").createOrReplaceTempView(base)
+    return {table: spark.sql(sql) for table, sql in queries.items()}
