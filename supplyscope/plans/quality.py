@@ -149,9 +149,10 @@ def criterion_of(issue_type: DataFrame) -> DataFrame:
 def issue_marks(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Criteria that each resource fails. Issues of unknown or unrated type leave no mark."""
     rated = criterion_of(tables["issue_type"]).filter(F.col("quality_level").isNotNull())
-    # Reduced to (resource, issue type) before the join with the small table of types.
-    found = tables["issue_summary"].select("resource", "issue_type").distinct()
-    return inner_on(found, rated, ["issue_type"]).select("resource", "quality_criteria", "quality_level").distinct()
+    # The types are a short list, so this join leaves the issues where they are and thins them out
+    # before the one shuffle.
+    found = inner_on(tables["issue_summary"].select("resource", "issue_type"), rated, ["issue_type"])
+    return found.select("resource", "quality_criteria", "quality_level").distinct()
 
 
 def expectation_marks(tables: Mapping[str, DataFrame]) -> DataFrame:
