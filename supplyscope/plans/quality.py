@@ -285,6 +285,8 @@ def supply_summary(marks: DataFrame, keys: Sequence[str], criteria: Sequence[str
 
 def criteria_matrix(summary: DataFrame, criteria: Sequence[str]) -> DataFrame:
     """One row per owner; a criterion holds if it holds in all of the owner's summary rows."""
+    if not criteria:
+        return summary.select(*_OWNER).distinct()
     return summary.groupBy(*_OWNER).agg(*[F.bool_and(f"`{c}`").alias(c) for c in criteria])
 
 

@@ -7,9 +7,9 @@ import os
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | None = None) -> SparkSession:
+def local_session(cpus: int | None = None, options: dict[str, str] | None = None) -> SparkSession:
     cpus = cpus or os.cpu_count() or 1
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("supplyscope")
         .config("spark.sql.shuffle.partitions", str(cpus))
@@ -17,7 +17,9 @@ def local_session(cpus: int | None = None) -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    for name, value in (options or {}).items():
+        builder = builder.config(name, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
