@@ -27,6 +27,7 @@ from .joins import (
     join_coerced,
     join_on,
     left_join_m1,
+    left_many,
     left_on,
     lookup_by_dataset,
     map_column,

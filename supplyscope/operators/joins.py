@@ -155,11 +155,35 @@ def in_set(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bo
 
 
 def exists_flag(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], name: str, null_safe: bool = False
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    name: str,
+    null_safe: bool = False,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """All left rows, with a column telling whether the key is in ``right``."""
+    """All left rows, with a column telling whether the key is in ``right``.
+
+    Where left rows may pile up on a key, ``counted`` gives a table to find such keys in.
+    """
     marked = right.select(*keys).distinct().withColumn(name, F.lit(True))
-    return left_on(left, marked, keys, null_safe).withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+    if counted is None:
+        joined = left_on(left, marked, keys, null_safe)
+    else:
+        joined = spread_join(left, marked, keys, "left", null_safe, counted)
+    return joined.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+
+
+def left_many(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Left join from one row per key to right rows that may pile up on a key.
+
+    A left join can only be split on its left. So matches and gaps are separate joins: an inner one,
+    which can be split on the side of the right rows, and an anti one against their distinct keys.
+    """
+    values = [c for c in right.columns if c not in keys]
+    found = join_on(right, left, keys, "inner", null_safe).select(*left.columns, *values)
+    gaps = missing_in(left, right.select(*keys).distinct(), keys, null_safe)
+    return found.unionByName(gaps, allowMissingColumns=True)
 
 
 def map_column(c: Column, mapping: Mapping, default=None) -> Column:
@@ -180,9 +204,7 @@ def coverage_grid(
 
     A cell with actual rows yields one row for each, a cell without yields one row of ``defaults``
     (null where none is given). ``dimension`` is a constant list, unrolled in place rather than
-    cross-joined. The actual rows may pile up on one key while a cell is a single row, and a left
-    join can only be split on its left, so matches and gaps are separate joins: an inner one led by
-    the actual rows and an anti one against their distinct keys.
+    cross-joined.
     """
     members = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in m.items()]) for m in dimension])
     cells = expected.withColumn("__member", F.explode(members)).select(*expected.columns, "__member.*")
@@ -191,13 +213,14 @@ def coverage_grid(
     if clash:
         raise ValueError(f"columns on both sides of the grid: {clash}")
 
-    found = inner_on(actual, cells, keys).select(*cells.columns, *values)
-    gaps = missing_in(cells, actual.select(*keys).distinct(), keys, null_safe=False)
-    filled = gaps.select(
-        *cells.columns,
-        *[F.lit(defaults.get(c)).cast(actual.schema[c].dataType).alias(c) for c in values],
-    )
-    return found.unionByName(filled)
+    marked = actual.withColumn("__found", F.lit(True))
+    grid = left_many(cells, marked, keys)
+    filled = {
+        c: F.when(F.col("__found"), F.col(c)).otherwise(F.lit(v).cast(actual.schema[c].dataType))
+        for c, v in defaults.items()
+        if c not in keys
+    }
+    return grid.withColumns(filled).drop("__found")
 
 
 def enrich_roles(

@@ -27,13 +27,16 @@ from ..operators import (
     dedupe,
     ended,
     first_non_null,
+    in_set,
     inner_on,
     latest,
+    left_many,
     left_on,
     missing,
     missing_in,
     missing_stats,
     sort_desc,
+    spread_join,
     top_groups,
 )
 from .constants import DOCUMENT_LINKS, DOCUMENT_TYPES, PDF_URLS
@@ -129,11 +132,14 @@ def endpoints_without_provision(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
     provided = left_on(provided, organisation, ["organisation_ref"], null_safe=True)
 
-    owned = left_on(endpoint, source, ["endpoint"])
+    # What is known per endpoint comes first, while there is one row for each; then its sources.
+    with_resource = left_on(endpoint, newest_resource, ["endpoint"])
+    with_dataset = spread_join(
+        with_resource, newest_dataset, ["resource"], "left", null_safe=True, counted=newest_resource
+    )
+    owned = left_many(with_dataset, source, ["endpoint"])
     named = left_on(owned, organisation, ["organisation_ref"], null_safe=True)
-    with_resource = left_on(named, newest_resource, ["endpoint"])
-    with_dataset = left_on(with_resource, newest_dataset, ["resource"], null_safe=True)
-    gaps = missing_in(with_dataset, provided, ["dataset", "organisation"])
+    gaps = missing_in(named, provided, ["dataset", "organisation"])
     return gaps.select("endpoint", "source", "collection", "endpoint_url", "organisation", "dataset")
 
 
@@ -157,16 +163,36 @@ def _finding(group: str | None, details: str) -> Column:
     return F.struct(F.lit(group).cast("string").alias("group"), F.lit(details).alias("details"))
 
 
+def probe_findings(url_probe: DataFrame) -> DataFrame:
+    """What each captured probe says about its URL, one row per URL.
+
+    The answers are read off the page bodies where they lie, so that no body has to be shuffled.
+    """
+    content_type = F.coalesce(F.lower("content_type"), F.lit(""))
+    body = F.lower("body")
+    is_json = content_type.startswith("application/json")
+    refused = (F.trim(json_value(F.col("body"), "$.error.code")) == "499") | F.lower(
+        json_value(F.col("body"), "$.error.message")
+    ).contains("token")
+    findings = url_probe.select(
+        F.trim("url").alias("probe_url"),
+        true_only(F.lower("head_content_type").contains("application/pdf")).alias("is_pdf"),
+        true_only(is_json & refused).alias("refused_json"),
+        true_only(~is_json & body.contains("token required")).alias("refused_text"),
+        true_only(
+            (F.col("status") == 200) & body.contains("serviceexception") & body.contains("feature")
+        ).alias("refused_feature"),
+    )
+    return dedupe(findings, ["probe_url"], ["is_pdf", "refused_json", "refused_text", "refused_feature"], "last")
+
+
 def classify_failed(df: DataFrame) -> DataFrame:
-    """Why a resource failed, from its URL and a captured probe of it; adds ``group`` and ``details``.
+    """Why a resource failed, from its URL and the findings of a probe; adds ``group`` and ``details``.
 
     Rules are tried in order and the first that applies wins. They look for parts of the URL, so a
     ``.docx`` link is reported by the earlier rule for ``.doc``.
     """
     url = F.lower(F.coalesce(F.trim("endpoint_url"), F.lit("")))
-    content_type = F.lower("content_type")
-    text = F.lower("body")
-
     by_name = [(".zip", _finding("zipped file", "file needs to be unzipped first"))]
     for lead, how in ((".", "file in URL"), ("-", "inferred from slug")):
         for kind in DOCUMENT_TYPES:
@@ -177,29 +203,15 @@ def classify_failed(df: DataFrame) -> DataFrame:
             )
             by_name.append((lead + kind, finding))
 
-    is_json = true_only(content_type.startswith("application/json"))
-    json_refused = (F.trim(json_value(F.col("body"), "$.error.code")) == "499") | F.lower(
-        json_value(F.col("body"), "$.error.message")
-    ).contains("token")
-    asks_wfs = url.contains("getfeature") | url.contains("wfs")
-    wfs_refused = (F.col("probe_status") == 200) & text.contains("serviceexception") & text.contains("feature")
+    asks_feature = url.contains("getfeature") | url.contains("wfs")
+    json_refusal = _finding("auth error", "Token or authentication required (JSON error response)")
+    text_refusal = _finding("auth error", "Token or authentication required (text body)")
+    wrong_type = _finding("wfs error", "Likely invalid typeName - check WFS GetCapabilities")
     by_probe = (
-        F.when(
-            F.lower("head_content_type").contains("application/pdf"),
-            _finding(DOCUMENT_LINKS, "confirmed via Content-Type check"),
-        )
-        .when(
-            is_json & json_refused,
-            _finding("auth error", "Token or authentication required (JSON error response)"),
-        )
-        .when(
-            ~is_json & text.contains("token required"),
-            _finding("auth error", "Token or authentication required (text body)"),
-        )
-        .when(
-            asks_wfs & wfs_refused,
-            _finding("wfs error", "Likely invalid typeName - check WFS GetCapabilities"),
-        )
+        F.when(F.col("is_pdf"), _finding(DOCUMENT_LINKS, "confirmed via Content-Type check"))
+        .when(F.col("refused_json"), json_refusal)
+        .when(F.col("refused_text"), text_refusal)
+        .when(asks_feature & F.col("refused_feature"), wrong_type)
         .otherwise(_finding(None, ""))
     )
     found = first_match(url, by_name, by_probe)
@@ -223,27 +235,21 @@ def flagged_failed_resources(tables: Mapping[str, DataFrame], newest: int | None
     failed = failed_resources(tables)
     chosen = failed if newest is None else latest(failed, "start_date", newest, ["resource", "dataset"])
     newest_endpoint = dedupe(tables["resource_endpoint"], ["resource"], ["rowid"], "last").drop("rowid")
-    endpoint = tables["endpoint"].select("endpoint", "endpoint_url")
+    traced = left_on(chosen, newest_endpoint, ["resource"], null_safe=True)
+
+    # A failure is explained per endpoint, however many of its resources failed.
+    endpoint = in_set(tables["endpoint"].select("endpoint", "endpoint_url"), traced, ["endpoint"], null_safe=True)
+    addressed = endpoint.withColumn("probe_url", F.trim("endpoint_url"))
+    probed = spread_join(addressed, probe_findings(tables["url_probe"]), ["probe_url"], "left")
     newest_source = dedupe(
         tables["source"].select("rowid", "endpoint", "source", "collection"), ["endpoint"], ["rowid"], "last"
     ).drop("rowid")
-    probe = tables["url_probe"].select(
-        F.col("url").alias("probe_url"),
-        "head_content_type",
-        "content_type",
-        F.col("status").alias("probe_status"),
-        "body",
-    )
-    one_probe = dedupe(probe, ["probe_url"], ["probe_status"], "first")
+    sourced = left_on(classify_failed(probed), newest_source, ["endpoint"], null_safe=True)
 
-    traced = left_on(chosen, newest_endpoint, ["resource"], null_safe=True)
-    traced = left_on(traced, endpoint, ["endpoint"], null_safe=True)
-    traced = left_on(traced, newest_source, ["endpoint"], null_safe=True)
-    probed = left_on(traced.withColumn("probe_url", F.trim("endpoint_url")), one_probe, ["probe_url"])
-    report = classify_failed(probed).withColumn(
-        "recommend_retirement", yes_no(F.col("group") == DOCUMENT_LINKS)
-    )
-    return report.select(
+    report = spread_join(traced, sourced, ["endpoint"], "left", null_safe=True, counted=newest_endpoint)
+    unknown = report.withColumn("details", F.coalesce("details", F.lit("")))
+    flagged = unknown.withColumn("recommend_retirement", yes_no(F.col("group") == DOCUMENT_LINKS))
+    return flagged.select(
         "resource", "source", "collection", "endpoint_url", "group", "details", "recommend_retirement"
     )
 

@@ -51,7 +51,7 @@ def deleted_entities(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def entity_details(tables: Mapping[str, DataFrame], wanted: DataFrame, geometry: bool) -> DataFrame:
     """The wanted (dataset, entity) keys with the entity's own details, its organisation's name, and
-    the organisation that the dataset's lookup gives for it."""
+    the organisation that the dataset's lookup gives for it, marked if that is in the ODP project."""
     keys = ["dataset", "entity"]
     columns = [*keys, "name", "organisation_entity", "entry_date", "end_date", *(["geometry"] if geometry else [])]
     spatial = tables["entity"].filter(F.col("dataset").isin(SPATIAL_DATASETS)).select(*columns)
@@ -64,7 +64,12 @@ def entity_details(tables: Mapping[str, DataFrame], wanted: DataFrame, geometry:
 
     found = left_join_m1(wanted, known, keys, what="entity")
     owned = left_join_m1(found, organisation, ["organisation_entity"], what="organisation")
-    return lookup_by_dataset(owned, first, "organisation", "lookup_organisation")
+    looked_up = lookup_by_dataset(owned, first, "organisation", "lookup_organisation")
+
+    odp = tables["provision"].filter(F.col("project") == ODP_PROJECT)
+    members = odp.select(F.col("organisation").alias("lookup_organisation"))
+    owners = lookup.select(F.col("organisation").alias("lookup_organisation"))
+    return exists_flag(looked_up, members, ["lookup_organisation"], "in_odp", counted=owners)
 
 
 def duplicate_pairs(tables: Mapping[str, DataFrame], geometry: bool = False) -> DataFrame:
@@ -94,11 +99,8 @@ def duplicate_pairs(tables: Mapping[str, DataFrame], geometry: bool = False) ->
     }
     found = found.withColumns(owner)
 
-    odp = tables["provision"].filter(F.col("project") == ODP_PROJECT)
-    members = odp.select(F.col("organisation").alias("lookup_org_b"))
-    flagged = exists_flag(found, members, ["lookup_org_b"], "in_odp").withColumn(
-        "lookup_same_org", same(F.col("lookup_org_a"), F.col("lookup_org_b"))
-    )
+    found = found.withColumnRenamed("entity_b_in_odp", "in_odp")
+    flagged = found.withColumn("lookup_same_org", same(F.col("lookup_org_a"), F.col("lookup_org_b")))
     shown = ["name", "organisation", "organisation_name", "entry_date", "end_date", *(["geometry"] if geometry else [])]
     sides = [c for side in ("a", "b") for c in (f"entity_{side}", *[f"entity_{side}_{x}" for x in shown])]
     return flagged.select(

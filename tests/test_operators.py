@@ -84,6 +84,13 @@ def test_coverage_grid_has_a_row_per_match_and_one_per_gap(spark, rows):
     ]
 
 
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_left_many_equals_the_left_join(spark, rows, null_safe):
+    left = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "k string, l int")
+    right = spark.createDataFrame([("a", 10), ("a", 11), (None, 20), ("c", 30), ("a", None)], "k string, r int")
+    assert rows(O.left_many(left, right, ["k"], null_safe)) == rows(O.left_on(left, right, ["k"], null_safe))
+
+
 def test_outer_compare(spark, rows):
     a = spark.createDataFrame([("x", 1), (None, 2)], "k string, a int")
     b = spark.createDataFrame([(None, 3), ("y", 4)], "k string, b int")
@@ -109,6 +116,7 @@ def test_filters(spark, rows):
     assert [d.count() for d in split_active(df)] == [3, 1]
     named = spark.createDataFrame([("a",), (None,), ("b",)], "name string")
     assert rows(O.exclude(named, "name", "a")) == [("b",)]
+    assert O.with_prefix(named, "a_").columns == ["a_name"]
     assert O.order_columns(named.withColumn("y", F.lit(1)).withColumn("z.", F.lit(2)), ["z."], ["name"]).columns == ["z.", "y", "name"]
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from supplyscope import plans
 from supplyscope.plans import quality
-from supplyscope.plans.endpoints import classify_failed
+from supplyscope.plans.endpoints import classify_failed, probe_findings
 from supplyscope.sources import TABLES
 
 LABEL = {
@@ -275,20 +275,18 @@ def test_logs_count_mondays_only(spark):
         ("http://x/3", {"content_type": "application/json", "body": '{"error": {"message": "Bad Token"}}'}, "auth error", "Token or authentication required (JSON error response)"),
         ("http://x/4", {"content_type": "application/json", "body": "token required"}, None, ""),
         ("http://x/5", {"content_type": "text/html", "body": "Token Required"}, "auth error", "Token or authentication required (text body)"),
-        ("http://x/WFS", {"content_type": "text/xml", "body": "ServiceException feature", "probe_status": 200}, "wfs error", "Likely invalid typeName - check WFS GetCapabilities"),
-        ("http://x/wfs", {"content_type": "text/xml", "body": "ServiceException feature", "probe_status": 500}, None, ""),
+        ("http://x/WFS", {"content_type": "text/xml", "body": "ServiceException feature", "status": 200}, "wfs error", "Likely invalid typeName - check WFS GetCapabilities"),
+        ("http://x/wfs", {"content_type": "text/xml", "body": "ServiceException feature", "status": 500}, None, ""),
         ("http://x/6", {}, None, ""),
         (None, {}, None, ""),
         ("https://www.bolton.gov.uk/downloads/file/3212/infrastructure-funding-statement", {}, "active document links", "manually flagged as pdf"),
     ],
 )
-def test_failed_resource_rules(spark, url, probe, group, details):
-    columns = ["head_content_type", "content_type", "body", "probe_status"]
-    df = spark.createDataFrame(
-        [(url, *[probe.get(c) for c in columns])],
-        "endpoint_url string, head_content_type string, content_type string, body string, probe_status int",
-    )
-    row = classify_failed(df).first()
+def test_failed_resource_rules(spark, table, url, probe, group, details):
+    df = spark.createDataFrame([(url,)], "endpoint_url string")
+    probes = table("url_probe", {"url": url, **probe}) if probe else table("url_probe")
+    probed = df.join(probe_findings(probes), F.col("endpoint_url") == F.col("probe_url"), "left")
+    row = classify_failed(probed).first()
     assert (row.group, row.details) == (group, details)
 
 
