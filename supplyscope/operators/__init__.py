@@ -1,6 +1,16 @@
 """DataFrame operators."""
 
-from .filters import active, ended, exclude, isin, missing, order_columns, split_active, with_prefix
+from .filters import (
+    active,
+    ended,
+    exclude,
+    isin,
+    missing,
+    order_columns,
+    split_active,
+    timestamp_of,
+    with_prefix,
+)
 from .groups import (
     band_counts,
     covers_days,

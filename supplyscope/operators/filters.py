@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import is_blank
+from ..functions import is_blank, parse_ts
 
 
 def missing(df: DataFrame, col: str) -> Column:
@@ -21,6 +21,13 @@ def missing(df: DataFrame, col: str) -> Column:
     return F.col(col).isNull()
 
 
+def timestamp_of(df: DataFrame, col: str, strict: bool = False) -> Column:
+    """The column as a wall-clock timestamp. Only text has to be parsed."""
+    if isinstance(df.schema[col].dataType, T.StringType):
+        return parse_ts(F.col(col), strict)
+    return F.col(col).cast("timestamp_ntz")
+
+
 def active(df: DataFrame, col: str = "end_date") -> DataFrame:
     """Rows that have not ended."""
     return df.filter(missing(df, col))

@@ -135,8 +135,13 @@ def join_coerced(
     return a.join(b, "__key", how).drop("__key")
 
 
-def outer_compare(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full outer join. Both sides should be aggregated to the keys first."""
+def outer_compare(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
+    """Full outer join. Both sides should be aggregated to the keys first.
+
+    With keys that cannot be null, ``null_safe=False`` lets the join use the aggregates' partitioning.
+    """
+    if not null_safe:
+        return left.join(right, list(keys), "full")
     renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
     match = _all(F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys)
     joined = left.join(renamed, match, "full")

@@ -8,8 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import guarded_ratio, is_blank, to_number_or_zero
-from ..operators import dedupe, distinct_with_null, group_count, left_on, missing, outer_compare, sort_report
-from ..operators import inner_on
+from ..operators import (
+    dedupe,
+    distinct_with_null,
+    group_count,
+    inner_on,
+    left_on,
+    missing,
+    outer_compare,
+    sort_report,
+)
 from .constants import COUNTED_DATASETS
 
 _OWNER = ["dataset", "name", "organisation"]
@@ -75,7 +83,7 @@ def owner_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
         distinct_with_null("endpoint").alias("inactive_endpoint_count"),
         F.count(F.lit(1)).alias("inactive_resource_count"),
     )
-    both = outer_compare(active, inactive, _OWNER)
+    both = outer_compare(active, inactive, _OWNER, null_safe=False)
     return both.fillna(0, subset=[c for c in both.columns if c not in _OWNER])
 
 
@@ -94,7 +102,8 @@ def platform_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def resource_vs_platform(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Both counts side by side, with the ratio of platform entities to resource lines."""
-    merged = outer_compare(platform_counts(tables), owner_summary(tables), _OWNER)
+    # Owners are never null here: the dataset is filtered on, and unknown names are blank.
+    merged = outer_compare(platform_counts(tables), owner_summary(tables), _OWNER, null_safe=False)
     counts = [*_COUNTS, "endpoint_count", "resource_count", "inactive_endpoint_count", "inactive_resource_count"]
     ratio = guarded_ratio(F.col("platform_entity_count"), F.col("line_count"))
     report = merged.select(

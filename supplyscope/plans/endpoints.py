@@ -15,7 +15,6 @@ from ..functions import (
     first_match,
     join_code,
     json_value,
-    parse_ts,
     strip_prefix,
     to_day,
     true_only,
@@ -37,6 +36,7 @@ from ..operators import (
     missing_stats,
     sort_desc,
     spread_join,
+    timestamp_of,
     top_groups,
 )
 from .constants import DOCUMENT_LINKS, DOCUMENT_TYPES, PDF_URLS
@@ -68,7 +68,7 @@ def endpoints_documentation(tables: Mapping[str, DataFrame]) -> DataFrame:
         "pipeline/dataset",
         "endpoint_url",
         "documentation_url",
-        parse_ts(F.col("entry_date")).alias("entry_date"),
+        timestamp_of(rows, "entry_date").alias("entry_date"),
         "end_date",
         "endpoint",
         missing(rows, "documentation_url").alias("documentation_missing"),
@@ -87,7 +87,7 @@ def documentation_stats(tables: Mapping[str, DataFrame]) -> DataFrame:
         F.count_if(gap).alias("missing_count"),
         F.count_if(gap & is_active).alias("active_missing"),
         F.count_if(gap & ~is_active).alias("ended_missing"),
-        to_day(F.max(F.when(gap, parse_ts(F.col("entry_date"))))).alias("most_recent_missing_entry_date"),
+        to_day(F.max(F.when(gap, timestamp_of(rows, "entry_date")))).alias("most_recent_missing_entry_date"),
     )
     percent = F.round(missing_stats(F.col("total"), F.col("missing_count")), 2)
     return counted.select(
@@ -262,9 +262,16 @@ def runaway_resources(tables: Mapping[str, DataFrame], as_of: dt.date | None = N
 
     Every measure is an aggregate of one grouping.
     """
-    rows = active(tables["historic_endpoint"], "endpoint_end_date").dropna(subset=["endpoint"])
-    start, end = parse_ts(F.col("resource_start_date"), strict=True), parse_ts(F.col("resource_end_date"), strict=True)
+    history = active(tables["historic_endpoint"], "endpoint_end_date").dropna(subset=["endpoint"])
     meta = ["organisation_name", "dataset", "collection", "pipeline", "endpoint_entry_date"]
+    rows = history.select(
+        "rowid",
+        "endpoint",
+        *meta,
+        timestamp_of(history, "resource_start_date", strict=True).alias("start"),
+        timestamp_of(history, "resource_end_date", strict=True).alias("end"),
+    )
+    start, end = F.col("start"), F.col("end")
     summary = rows.groupBy("endpoint").agg(
         to_day(F.min(start)).alias("first_resource_start_date"),
         to_day(F.max(start)).alias("last_resource_start_date"),
@@ -293,14 +300,15 @@ def ended_organisations(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def ended_orgs_active_endpoints(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Endpoints still active although their organisation has ended."""
-    endpoints = active(tables["historic_endpoint"], "endpoint_end_date").select(
+    history = active(tables["historic_endpoint"], "endpoint_end_date")
+    endpoints = history.select(
         F.col("organisation").alias("organisation_code"),
         F.col("dataset").alias("dataset_name"),
         "endpoint_url",
-        parse_ts(F.col("endpoint_entry_date")).alias("endpoint_entry_date"),
-        parse_ts(F.col("endpoint_end_date")).alias("endpoint_end_date"),
+        timestamp_of(history, "endpoint_entry_date").alias("endpoint_entry_date"),
+        timestamp_of(history, "endpoint_end_date").alias("endpoint_end_date"),
         F.col("latest_status").alias("status"),
-        parse_ts(F.col("latest_log_entry_date")).alias("latest_log_entry_date"),
+        timestamp_of(history, "latest_log_entry_date").alias("latest_log_entry_date"),
     )
     organisations = ended_organisations(tables).drop("organisation_end_date")
     merged = inner_on(endpoints, organisations, ["organisation_code"], null_safe=True)
