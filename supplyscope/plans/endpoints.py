@@ -60,9 +60,11 @@ def endpoint_catalogue(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def endpoints_documentation(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """All endpoints, flagged where documentation is missing and where the source is active."""
-    rows = endpoint_catalogue(tables)
-    flagged = rows.select(
+    """All endpoints, newest first by the text of their date, flagged where documentation is missing
+    and where the source is active."""
+    catalogue = endpoint_catalogue(tables)
+    rows = sort_desc(catalogue, "entry_date", ["endpoint", "organisation", "`pipeline/dataset`"])
+    return rows.select(
         "name",
         "organisation",
         "pipeline/dataset",
@@ -74,7 +76,6 @@ def endpoints_documentation(tables: Mapping[str, DataFrame]) -> DataFrame:
         missing(rows, "documentation_url").alias("documentation_missing"),
         missing(rows, "end_date").alias("is_active"),
     )
-    return sort_desc(flagged, "entry_date", ["endpoint", "organisation", "`pipeline/dataset`"])
 
 
 def documentation_stats(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -8,7 +8,7 @@ import time
 from collections import Counter
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame
 
 from supplyscope.session import local_session
 
@@ -41,15 +41,10 @@ def oracle_rows(sf_dir: str, sql: str) -> tuple[list[str], Counter]:
     return rows_of([d[0] for d in result.description], result.fetchall())
 
 
-def query_rows(spark: SparkSession, sf_dir: str, query) -> tuple[list[str], Counter]:
-    df = query(spark, sf_dir)
-    return rows_of(df.columns, df.collect())
-
-
-def difference(spark: SparkSession, sf_dir: str, name: str) -> str | None:
-    """None if query and oracle agree, else what differs."""
+def difference(df: DataFrame, sf_dir: str, name: str) -> str | None:
+    """None if the query's result and its oracle agree, else what differs."""
     columns, expected = oracle_rows(sf_dir, oracles.oracle_sql()[name])
-    got_columns, got = query_rows(spark, sf_dir, bindings.queries()[name])
+    got_columns, got = rows_of(df.columns, df.collect())
     if columns != got_columns:
         return f"columns {got_columns} instead of {columns}"
     if expected != got:
@@ -65,11 +60,11 @@ def main() -> None:
     sf_dir, *only = sys.argv[1:]
     spark = local_session()
     wrong = 0
-    for name in bindings.queries():
+    for name, query in bindings.queries().items():
         if only and name not in only:
             continue
         start = time.time()
-        problem = difference(spark, sf_dir, name)
+        problem = difference(query(spark, sf_dir), sf_dir, name)
         wrong += problem is not None
         print(f"{name:32s} {time.time() - start:6.1f}s  {problem or 'same'}", flush=True)
     print(f"{wrong} different")

@@ -57,6 +57,32 @@ def test_spread_join_cuts_only_hot_keys(spark):
     assert O.spread_join(left, right, ["k"], hot_rows=10).count() == 101
 
 
+def test_spread_join_and_number_within_leave_no_task_with_the_hot_key(spark):
+    left = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("k"),
+        F.col("id").alias("rowid"),
+    )
+    right = left.groupBy("k").agg(F.max("rowid").alias("v"))
+
+    def largest_task(df, col):
+        # The sum keeps the column, and with it the join, in the plan.
+        per_task = df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), F.sum(col))
+        return max(r.n for r in per_task.collect())
+
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "50",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert largest_task(O.left_on(left, right, ["k"]), "v") > 10_000
+        assert largest_task(O.spread_join(left, right, ["k"], hot_rows=500), "v") < 5_000
+        assert largest_task(O.number_within(left, ["k"], "rowid", "nr", span=1000), "nr") < 5_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_left_join_m1_stops_on_a_repeated_key(spark, rows):
     left = spark.createDataFrame([("a",), (None,)], "k string")
     once = spark.createDataFrame([("a", 1), (None, 2), ("c", 3)], "k string, v int")
