@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ngram_join
+from . import decision_list, mixing, ngram_join, ring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,12 +15,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.manifest(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ring.manifest(_table(spark, sf_dir, "documents"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = decision_list.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", *decision_list.BASE, "base_failed", "kept", "rule")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_ngram_jaccard_join,)}
+    return {f.__name__: f for f in (op4_source_mixing, op5_ngram_jaccard_join, op6_sharding, op9_quality_rules)}
 
 
 _OP5 = r"""
@@ -46,5 +60,35 @@ FROM sets s LEFT JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.s
 """
 
 
+_OP4 = r"""
+WITH docs AS (
+    SELECT doc_id, source, CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS BIGINT) AS size
+    FROM documents),
+keyed AS (SELECT *, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || size), 1, 15) AS BIGINT) AS point FROM docs),
+totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source),
+weights AS (
+    SELECT source, source_size, 2.0 * source_size AS cap,
+        CAST([3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS DOUBLE) AS w
+    FROM totals),
+filled AS (
+    SELECT cap / w AS full_at,
+        (1.5 * (SELECT sum(source_size) FROM totals) - coalesce(sum(cap) OVER before, 0.0))
+            / ((SELECT sum(w) FROM weights) - coalesce(sum(w) OVER before, 0.0)) AS level
+    FROM weights WINDOW before AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (SELECT min(level) FILTER (level <= full_at) AS level FROM filled),
+aims AS (
+    SELECT source, source_size, CAST(least(cap, w * level) AS DOUBLE) AS target,
+        CASE WHEN source_size > 0 THEN floor(least(cap, w * level) / source_size) ELSE 0 END AS whole
+    FROM weights, level),
+placed AS (
+    SELECT k.doc_id, k.size, a.source_size, a.target, a.whole, a.target - a.whole * a.source_size AS rest,
+        coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.point, k.size, k.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+    FROM keyed k JOIN aims a ON k.source IS NOT DISTINCT FROM a.source)
+SELECT doc_id, size, source_size, target,
+    CASE WHEN size = 0 THEN 0 ELSE CAST(size * (whole + greatest(0, least(1, floor((rest - below) / size + 0.5)))) AS BIGINT) END AS taken
+FROM placed
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_ngram_jaccard_join": _OP5}
+    return {"op4_source_mixing": _OP4, "op5_ngram_jaccard_join": _OP5}
