@@ -87,15 +87,10 @@ def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     q = q.withColumn("_p", F.expr("CASE WHEN _twice THEN array_sort(transform(_g, (x, i) -> struct(x AS h, i AS i))) END"))
     q = q.withColumn("_p", F.expr("sort_array(transform(filter(_p, (p, k) -> p.h = get(_p, k - 1).h OR p.h = get(_p, k + 1).h), p -> p.i))"))
     covered = "aggregate(_p, struct(-5 AS last, 0L AS n), (a, i) -> struct(i AS last, a.n + least(5, i - a.last) AS n), a -> a.n)"
-    return q.select(
-        *[F.col(f"`{c}`") for c in keep],
-        *[c for c in BASE if c != "n_repeat_words"],
-        F.coalesce(F.expr(covered), F.lit(0)).cast("long").alias("n_repeat_words"),
-        "n_lines",
-        F.size(F.array_distinct("_h")).cast("long").alias("n_distinct"),
-        "n_upper",
-        "n_marks",
-    )
+    q = q.withColumn("n_repeat_words", F.coalesce(F.expr(covered), F.lit(0)).cast("long"))
+    q = q.withColumn("n_distinct", F.size(F.array_distinct("_h")).cast("long"))
+    # As the rows of a generator, so that a filter on a count is not rewritten into the expressions behind it.
+    return q.select(*[F.col(f"`{c}`") for c in keep], F.inline(F.array(F.struct(*BASE, *MORE))))
 
 
 def _gain(p0: int, n0: int, p: int, n: int) -> float:

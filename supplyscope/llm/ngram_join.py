@@ -8,16 +8,17 @@ The join is exact and works on classes of texts with equal sets:
 1. Every text's shingles are hashed to 64 bits. Jaccard >= 3/4 means that both sets share at least 3/4 of
    either, so under one order of all shingles (here: by hash) two linked sets share at least ``need`` of
    their first ``n - ceil(3n/4) + ceil(n/10)`` shingles. Only those leave the scan. Shingles that occur
-   once are dropped, and with them every text left with fewer than ``need``. Of the others a text keeps
-   its rarest, as many as must hold one of the common ones: passages that very many texts share are
-   counted but not followed.
-2. Groups: each shingle's smallest text of a size class becomes a leader; texts are compared with their
-   leaders and join the group of the nearest. These links already connect most near copies, and no pairs
-   inside a group are listed.
-3. Token-group matrix: the union of each group's shingles, one row for each shingle and group. Groups with
-   a shingle in common that are not connected yet are bounded: Jaccard distance is a metric, so members
-   of groups around ``p`` and ``q`` can only be linked if ``d(p, q) - radius(p) - radius(q) <= 1/4``. Only
-   qualifying groups are opened, and in them only members far enough from their leader, on a shared shingle.
+   once are dropped, and with them every text left with fewer than ``need``. The others are counted
+   again by their whole sets, of which three quarters must be shared with some text; of the shared
+   shingles a text keeps the rarest, as many as must hold a common one: passages that very many texts
+   share are counted but not followed.
+2. Groups: the leader of a shingle and size class is the text whose shingles are most common. Texts are compared
+   with two of their leaders and grouped with the nearest; those at 3/4 are linked. Most near copies are connected
+   by that, and no pairs inside a group are listed.
+3. Token-group matrix: the union of each group's shingles, one row for each shingle and group; large groups are
+   slices. A text asks a group with which it has a rare shingle in common, if the group has members of
+   another, larger component. Where the overlap with the group's union is large enough for a link, the group
+   is opened: the text is counted against all members at once, and only links come out.
 4. All verified links go into connected components.
 
 Texts are identified by their sets' 64-bit fingerprints, so equal texts, repeated rows and rows with a
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from supplyscope.sources import materialise
@@ -102,27 +103,73 @@ def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 _LINKED = "4L * shared >= 3L * (na + nb - shared)"
-_DISTANCE = "1 - shared / (na + nb - shared)"
 
 
-def _candidates(docs: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Fingerprints that may have a link with their sizes; their (token, mark) rows; their full sets."""
+def _candidates(docs: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Full sets of the texts that may have a link, and their rare shingles as ``mark, n, weight, token``, where
+    weight tells how common all their shingles are."""
     rows = docs.select("doc_id", "text").mapInArrow(_prefixes, "token long, mark long")
+    shared = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token")
+    counts = rows.join(shared, "token").groupBy("mark").agg(F.count("*").alias("m"))
+    classes = sizes.where("n > 0 AND doc_id IS NOT NULL").groupBy("mark").agg(F.max("n").alias("n"), F.min("doc_id").alias("doc_id"))
+    left = materialise(counts.join(classes, "mark").where(F.col("m") >= _need("n")).select("mark", "doc_id"), "candidates")
+    texts = docs.select("doc_id", "text").join(left.select("doc_id").distinct(), "doc_id")
+    sets = texts.mapInArrow(_shingles, "mark long, shingles array<long>").join(left.select("mark"), "mark")
+    sets = materialise(sets.groupBy("mark").agg(F.first("shingles").alias("shingles")), "sets")
+
+    # Over the whole sets of these: at least three quarters shared, and of the shared ones the rarest.
+    rows = sets.select("mark", F.explode("shingles").alias("token"))
     shared = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    kept = rows.join(shared, "token").groupBy("mark").agg(F.collect_set(F.struct("df", "token")).alias("found"))
-    classes = sizes.groupBy("mark").agg(F.max("n").alias("n"), F.min("doc_id").alias("doc_id"))
-    kept = kept.join(classes.where("n > 0 AND doc_id IS NOT NULL"), "mark")
-    kept = kept.where(F.size("found") >= _need("n"))
-    rarest = F.slice(F.array_sort("found"), 1, F.size("found") - _need("n") + 1)
-    kept = materialise(kept.select("mark", "n", "doc_id", rarest.getField("token").alias("tokens")), "candidates")
-    tokens = kept.select("mark", "n", F.explode("tokens").alias("token"))
-    some = tokens.groupBy("token").agg(F.min("mark").alias("lo"), F.max("mark").alias("hi")).where("lo < hi")
-    tokens = materialise(tokens.join(some.select("token"), "token"), "tokens")
-    left = tokens.select("mark").distinct()
-    texts = docs.select("doc_id", "text").join(kept.join(left, "mark").select("doc_id").distinct(), "doc_id")
-    found = texts.mapInArrow(_shingles, "mark long, shingles array<long>")
-    found = found.join(left, "mark").groupBy("mark").agg(F.first("shingles").alias("shingles"))
-    return kept.select("mark", "n"), tokens, materialise(found, "sets")
+    kept = rows.join(shared, "token").groupBy("mark")
+    kept = kept.agg(F.collect_list(F.struct("df", "token")).alias("found"), F.sum("df").alias("weight"))
+    kept = kept.join(sets.select("mark", F.size("shingles").alias("n")), "mark").withColumn("weight", F.col("weight") / F.col("n"))
+    least = F.expr("(3 * n + 3) div 4")
+    kept = kept.where(F.size("found") >= least)
+    rarest = F.slice(F.array_sort("found"), 1, (F.size("found") - least + 1).cast("int"))
+    tokens = kept.select("mark", "n", "weight", F.explode(rarest.getField("token")).alias("token"))
+    return sets, materialise(tokens, "tokens")
+
+
+def _slices(rows: DataFrame, group: list[str], load: int, name: str) -> DataFrame:
+    """Adds ``name``: cuts the rows of each group (``mark``, ``n``) so that a slice holds about ``load`` shingles."""
+    total = rows.groupBy(*group).agg(F.sum("n").alias("_load"))
+    cut = F.pmod(F.xxhash64("mark"), F.floor(F.col("_load") / load) + 1)
+    return rows.join(total, group).withColumn(name, cut).drop("_load")
+
+
+def _open(queries: pa.Table, members: pa.Table) -> pa.Table:
+    """Links between the queries and members of one slice of a group, one for each query and component.
+
+    The slice's shingles in order, with whose they are, answer for a query how many it shares with the union
+    of the slice (too few: no member can be linked) and with each member.
+    """
+    found: list[tuple[int, int]] = []
+    marks, roots, sizes = (members[c].to_numpy() for c in ("_mark", "_root", "_n"))
+    if queries.num_rows and members.num_rows:
+        tokens = members["_shingles"].combine_chunks().flatten().to_numpy()
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], np.repeat(np.arange(len(sizes)), sizes)[order]
+        for mark, root, n, own in zip(*(queries[c] for c in ("mark", "root", "n", "shingles")), strict=True):
+            own, n = own.values.to_numpy(), n.as_py()
+            lo, hi = np.searchsorted(tokens, own, "left"), np.searchsorted(tokens, own, "right")
+            lo, count = lo[hi > lo], (hi - lo)[hi > lo]
+            if 4 * len(lo) < 3 * n:
+                continue
+            at = np.repeat(lo - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
+            shared = np.bincount(owner[at], minlength=len(sizes))
+            linked = np.flatnonzero((4 * shared >= 3 * (n + sizes - shared)) & (roots != root.as_py()))
+            for k in linked[np.unique(roots[linked], return_index=True)[1]]:
+                found.append((mark.as_py(), int(marks[k])))
+    a, b = zip(*found) if found else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+#: Shingles of the members, and of the queries, that one task holds when it opens a slice of a group.
+_MEMBER_LOAD, _QUERY_LOAD = 200_000, 400_000
+#: Leaders with which a text is compared, those that most of its rare shingles have; groups are asked about the rest.
+_LEADERS = 2
+#: Texts nearer than this to a leader, as shared / union, are put in its group, linked or not.
+_LOOSE = 0.3
 
 
 def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -132,43 +179,46 @@ def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     Runs jobs and writes intermediate tables. Fingerprints that only rows without ``doc_id`` have are not linked.
     """
     sizes = materialise(docs.select("doc_id", "text").mapInArrow(_sizes, "doc_id long, n long, mark long"), "sizes")
-    _, tokens, sets = _candidates(docs, sizes)
+    sets, tokens = _candidates(docs, sizes)
 
-    # Leaders of each token and size class, and what of each text is linked to its leaders.
+    # Each shingle's leader within a size class is the text whose shingles are most common: the middle of its copies.
     sized = tokens.withColumn("size_class", F.floor(F.log("n") / F.log(F.lit(4 / 3))))
-    leaders = sized.groupBy("token", "size_class").agg(F.min("mark").alias("b"))
-    stars = sized.join(leaders, ["token", "size_class"]).where("mark != b").select(F.col("mark").alias("a"), "b").distinct()
-    stars = materialise(_compare(stars, sets).where(_LINKED).select("a", "b", F.expr(_DISTANCE).alias("d")), "stars")
-    joined = components(stars, "a", "b")
-
-    # Groups: every text in the group of its nearest leader, and in its own if it leads or has none.
-    nearest = stars.groupBy("a").agg(F.min(F.struct("d", "b")).alias("x")).select(F.col("a").alias("mark"), F.col("x.b").alias("p"), F.col("x.d").alias("d"))
-    alone = tokens.select("mark").distinct().join(nearest.select("mark"), "mark", "left_anti")
-    own = alone.unionByName(nearest.select(F.col("p").alias("mark"))).distinct()
-    groups = materialise(nearest.unionByName(own.select("mark", F.col("mark").alias("p"), F.lit(0.0).alias("d"))), "groups")
-
-    # The matrix, with the component and radius of each group; pairs of groups of different components.
-    members = tokens.join(groups, "mark")
-    roots = groups.where("mark = p").select("p").join(joined.withColumnRenamed("vertex", "p"), "p", "left")
-    about = groups.groupBy("p").agg(F.max("d").alias("r")).join(roots.select("p", F.coalesce("root", "p").alias("root")), "p")
-    matrix = members.groupBy("token", "p").agg(F.min("n").alias("lo"), F.max("n").alias("hi")).join(about, "p")
-    mixed = matrix.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("token")
-    matrix = materialise(matrix.join(mixed, "token"), "matrix")
-    other = matrix.select("token", *[F.col(c).alias(f"{c}2") for c in ("p", "lo", "hi", "r", "root")])
-    pairs = matrix.join(other, "token").where("root < root2 AND 4 * hi >= 3 * lo2 AND 4 * hi2 >= 3 * lo")
-    pairs = pairs.select(F.col("p").alias("a"), F.col("p2").alias("b"), "r", "r2").distinct()
-    pairs = materialise(_compare(pairs, sets).withColumn("d", F.expr(_DISTANCE)), "group-pairs")
-    links = stars.select("a", "b").unionByName(pairs.where(_LINKED).select("a", "b"))
-
-    # Open the groups whose bound allows a link between members other than the leaders.
-    far = pairs.where(f"NOT ({_LINKED}) AND r + r2 > 0 AND d - r - r2 <= 0.25 + 1e-9")
-    left = far.select(F.col("a").alias("p"), F.col("b").alias("p2"), (F.col("d") - 0.25 - 1e-9).alias("gap"), "r2")
-    mine = members.join(left, "p").where("d >= gap - r2")
-    theirs = members.select("token", F.col("mark").alias("b"), F.col("p").alias("p2"), F.col("d").alias("d2"), F.col("n").alias("n2"))
-    inner = mine.join(theirs, ["token", "p2"]).where("mark != b AND d + d2 >= gap AND 4 * n >= 3 * n2 AND 4 * n2 >= 3 * n")
-    inner = inner.select(F.col("mark").alias("a"), "b").distinct()
-    opened = materialise(_compare(inner, sets).where(_LINKED).select("a", "b"), "opened")
-    return sizes, materialise(links.unionByName(opened), "links")
+    leaders = sized.groupBy("token", "size_class").agg(F.max(F.struct("weight", "mark")).alias("b"))
+    stars = sized.join(leaders, ["token", "size_class"]).select(F.col("mark").alias("a"), F.col("b.mark").alias("b"))
+    stars = stars.where("a != b").groupBy("a", "b").agg(F.count("*").alias("votes"))
+    best = Window.partitionBy("a").orderBy(F.desc("votes"), "b")
+    stars = stars.withColumn("k", F.row_number().over(best)).where(f"k <= {_LEADERS}").select("a", "b")
+    stars = _compare(stars, sets).withColumn("j", F.expr("shared / (na + nb - shared)"))
+    stars = materialise(stars.select("a", "b", "j", F.expr(_LINKED).alias("linked")), "stars")
+    links = stars.where("linked").select("a", "b")
+
+    # Groups: texts with what leads them, cut into slices; the components that the links give so far.
+    near = stars.where(F.col("j") >= _LOOSE).groupBy("a").agg(F.max(F.struct("j", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
+    grouped = components(near, "a", "b").toDF("mark", "group")
+    joined = components(links, "a", "b").toDF("mark", "root")
+    texts = tokens.select("mark", "n").distinct().join(grouped, "mark", "left").join(joined, "mark", "left")
+    texts = texts.select("mark", "n", F.coalesce("group", "mark").alias("group"), F.coalesce("root", "mark").alias("root"))
+    texts = texts.join(texts.groupBy("root").agg(F.count("*").alias("members")), "root")
+    texts = texts.select("mark", "n", "group", "root", F.struct("members", "root").alias("rank"))
+    texts = materialise(_slices(texts, ["group"], _MEMBER_LOAD, "slice"), "texts")
+
+    # The matrix: which shingles each slice of a group has, and who might be asked for. Of two texts in different
+    # components, the one in the smaller component asks.
+    rows = tokens.select("mark", "token").join(texts, "mark")
+    matrix = rows.groupBy("token", "group", "slice").agg(F.max("rank").alias("top"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+    asks = rows.select("token", "mark", "n", "root", "rank").join(matrix, "token")
+    asks = asks.where("top > rank AND 4 * hi >= 3 * n AND 4 * n >= 3 * lo").select("mark", "n", "root", "group", "slice").distinct()
+    asks = materialise(_slices(asks, ["group", "slice"], _QUERY_LOAD, "part"), "asks")
+
+    # Open the groups that qualify, a slice and a part of its queries at a time.
+    key = ["group", "slice", "part"]
+    members = asks.select(*key).distinct().join(texts.select("group", "slice", "mark", "n", "root"), ["group", "slice"])
+    asked = asks.join(sets, "mark").select(*key, "mark", "n", "root", "shingles")
+    members = members.join(sets, "mark").select(*key, "mark", "n", "root", "shingles")
+    members = members.select(*[F.col(c).alias(f"_{c}") for c in members.columns])
+    pairs = asked.groupBy(*key).cogroup(members.groupBy(*[f"_{c}" for c in key]))
+    opened = pairs.applyInArrow(_open, "a long, b long")
+    return sizes, links.unionByName(materialise(opened, "opened"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decision_list, mixing, ngram_join, ring
+from . import decision_list, latent, mixing, ngram_join, ring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,8 +33,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *decision_list.BASE, "base_failed", "kept", "rule")
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latent.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_source_mixing, op5_ngram_jaccard_join, op6_sharding, op9_quality_rules)}
+    return {f.__name__: f for f in (op4_source_mixing, op5_ngram_jaccard_join, op6_sharding, op9_quality_rules, op10_benchmark_decontamination)}
 
 
 _OP5 = r"""
@@ -75,7 +79,7 @@ filled AS (
         (1.5 * (SELECT sum(source_size) FROM totals) - coalesce(sum(cap) OVER before, 0.0))
             / ((SELECT sum(w) FROM weights) - coalesce(sum(w) OVER before, 0.0)) AS level
     FROM weights WINDOW before AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-level AS (SELECT min(level) FILTER (level <= full_at) AS level FROM filled),
+level AS (SELECT arg_min(level, full_at) FILTER (level <= full_at) AS level FROM filled),
 aims AS (
     SELECT source, source_size, CAST(least(cap, w * level) AS DOUBLE) AS target,
         CASE WHEN source_size > 0 THEN floor(least(cap, w * level) / source_size) ELSE 0 END AS whole
