@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decision_list, latent, mixing, ngram_join, ring
+from . import decision_list, ecoc, latent, licenses, line_dedup, link_trust, mixing, ngram_join, ring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.summary(_table(spark, sf_dir, "documents"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ecoc.identified(_table(spark, sf_dir, "documents"))
+
+
+def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licences(_table(spark, sf_dir, "documents"))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.manifest(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target", "taken")
@@ -28,6 +40,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring.manifest(_table(spark, sf_dir, "documents"))
 
 
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_trust.judged(_table(spark, sf_dir, "pages"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = decision_list.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return found.select("doc_id", *decision_list.BASE, "base_failed", "kept", "rule")
@@ -38,7 +54,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_source_mixing, op5_ngram_jaccard_join, op6_sharding, op9_quality_rules, op10_benchmark_decontamination)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_language_id, op3_license_scans, op4_source_mixing, op5_ngram_jaccard_join, op6_sharding, op8_url_filters, op9_quality_rules, op10_benchmark_decontamination)}
 
 
 _OP5 = r"""
