@@ -12,8 +12,8 @@ The join is exact and works on classes of texts with equal sets:
    again by their whole sets, of which three quarters must be shared with some text; of the shared
    shingles a text keeps the rarest, as many as must hold a common one: passages that very many texts
    share are counted but not followed.
-2. Groups: the leader of a shingle and size class is the text whose shingles are most common. Texts are compared
-   with two of their leaders and grouped with the nearest; those at 3/4 are linked. Most near copies are connected
+2. Groups: the leader of a shingle and size class is the text whose shingles are most common. Each text is compared
+   with the leader of most of its shingles and grouped with it if near; those at 3/4 are linked. Most near copies are connected
    by that, and no pairs inside a group are listed.
 3. Token-group matrix: the union of each group's shingles, one row for each shingle and group; large groups are
    slices. A text asks a group with which it has a rare shingle in common, if the group has members of
@@ -59,8 +59,8 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [(len(s), mark) for _, s, mark in _sets(batch)]
         sizes, marks = zip(*found) if found else ((), ())
-        columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(marks, pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "mark"])
+        columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(marks, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n", "mark"])
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,20 +113,23 @@ def _candidates(docs: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame
     counts = rows.join(shared, "token").groupBy("mark").agg(F.count("*").alias("m"))
     classes = sizes.where("n > 0 AND doc_id IS NOT NULL").groupBy("mark").agg(F.max("n").alias("n"), F.min("doc_id").alias("doc_id"))
     left = materialise(counts.join(classes, "mark").where(F.col("m") >= _need("n")).select("mark", "doc_id"), "candidates")
-    texts = docs.select("doc_id", "text").join(left.select("doc_id").distinct(), "doc_id")
+    # The candidates grow with the corpus; merging gives one plan for every size.
+    texts = docs.select("doc_id", "text").join(left.select("doc_id").distinct().hint("merge"), "doc_id")
     sets = texts.mapInArrow(_shingles, "mark long, shingles array<long>").join(left.select("mark"), "mark")
     sets = materialise(sets.groupBy("mark").agg(F.first("shingles").alias("shingles")), "sets")
 
     # Over the whole sets of these: at least three quarters shared, and of the shared ones the rarest.
     rows = sets.select("mark", F.explode("shingles").alias("token"))
     shared = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    kept = rows.join(shared, "token").groupBy("mark")
-    kept = kept.agg(F.collect_list(F.struct("df", "token")).alias("found"), F.sum("df").alias("weight"))
+    # A shingle's count and its lower bits in one number: in order of rarity, and only used to find candidates.
+    rare = F.shiftleft(F.least("df", F.lit((1 << 19) - 1)), 44).bitwiseOR(F.col("token").bitwiseAND((1 << 44) - 1))
+    kept = rows.join(shared, "token").select("mark", rare.alias("token"), "df").groupBy("mark")
+    kept = kept.agg(F.collect_list("token").alias("found"), F.sum("df").alias("weight"))
     kept = kept.join(sets.select("mark", F.size("shingles").alias("n")), "mark").withColumn("weight", F.col("weight") / F.col("n"))
     least = F.expr("(3 * n + 3) div 4")
     kept = kept.where(F.size("found") >= least)
-    rarest = F.slice(F.array_sort("found"), 1, (F.size("found") - least + 1).cast("int"))
-    tokens = kept.select("mark", "n", "weight", F.explode(rarest.getField("token")).alias("token"))
+    rarest = F.slice(F.sort_array("found"), 1, (F.size("found") - least + 1).cast("int"))
+    tokens = kept.select("mark", "n", "weight", F.explode(rarest).alias("token"))
     return sets, materialise(tokens, "tokens")
 
 
@@ -166,19 +169,20 @@ def _open(queries: pa.Table, members: pa.Table) -> pa.Table:
 
 #: Shingles of the members, and of the queries, that one task holds when it opens a slice of a group.
 _MEMBER_LOAD, _QUERY_LOAD = 200_000, 400_000
-#: Leaders with which a text is compared, those that most of its rare shingles have; groups are asked about the rest.
-_LEADERS = 2
+#: Leaders with which a text is compared, those of most of its rare shingles; groups are asked about the rest.
+_LEADERS = 1
 #: Texts nearer than this to a leader, as shared / union, are put in its group, linked or not.
 _LOOSE = 0.3
 
 
 def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``doc_id, n, mark`` for every row, and links ``(a, b)`` between fingerprints that connect exactly the
+    """``doc_id, text_hash, n, mark`` for every row, and links ``(a, b)`` between fingerprints that connect exactly the
     texts connected by Jaccard >= 3/4. ``docs`` needs ``doc_id`` (long) and ``text``.
 
     Runs jobs and writes intermediate tables. Fingerprints that only rows without ``doc_id`` have are not linked.
     """
-    sizes = materialise(docs.select("doc_id", "text").mapInArrow(_sizes, "doc_id long, n long, mark long"), "sizes")
+    sizes = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    sizes = materialise(sizes.mapInArrow(_sizes, "doc_id long, text_hash long, n long, mark long"), "sizes")
     sets, tokens = _candidates(docs, sizes)
 
     # Each shingle's leader within a size class is the text whose shingles are most common: the middle of its copies.
@@ -245,11 +249,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each component of near duplicates stays.
 
-    The row with the component's smallest ``doc_id`` stays; of several rows with that id, one stays. Rows with
-    an empty set all stay. Rows without ``doc_id`` go only where their component has a row with one.
+    The row with the component's smallest ``doc_id`` stays, rows without id coming last; of rows that are alike in
+    id and text one stays. Rows without words all stay. ``docs`` keeps its columns.
     """
-    base = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    found = near_duplicates(base).where("n_shingles > 0 AND component_id IS NOT NULL AND NOT doc_id <=> component_id")
-    gone = found.select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(gone.where("doc_id IS NOT NULL"), "doc_id", "left_anti")
-    return named.select(*docs.columns)
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    doc_id, text = (F.col(f"c{docs.columns.index(c)}") for c in ("doc_id", "text"))
+    apart = docs.toDF(*names).withColumn("_id", doc_id.cast("long")).withColumn("_text", F.xxhash64(text.cast("string")))
+    base = apart.select(F.col("_id").alias("doc_id"), text.cast("string").alias("text"))
+    sizes, links = similar_sets(base)
+    marks = sizes.withColumnsRenamed({"doc_id": "id", "text_hash": "hash"})
+    roots = components(links, "a", "b").toDF("mark", "root")
+    rows = marks.where("n > 0").groupBy("id", "hash", "mark").agg(F.count("*").alias("m")).join(roots, "mark", "left")
+    rows = materialise(rows.select("id", "hash", "m", F.coalesce("root", "mark").alias("root")), "rooted")
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "hash")).alias("x"))
+    rows = rows.join(first, "root").withColumn("stays", F.col("id").eqNullSafe(F.col("x.id")) & (F.col("hash") == F.col("x.hash")))
+    rows = materialise(rows.select("id", "hash", "m", "stays"), "verdicts")
+
+    def among(keys: DataFrame, kind: str, docs: DataFrame) -> DataFrame:
+        return docs.join(keys.select("id", "hash"), F.col("_id").eqNullSafe(F.col("id")) & (F.col("_text") == F.col("hash")), kind)
+
+    left = among(rows.where("NOT stays"), "left_anti", apart)
+    alike = rows.where("stays AND m > 1")
+    if alike.limit(1).count():
+        once = among(alike, "left_semi", apart).dropDuplicates(["_id", "_text"])
+        left = among(alike, "left_anti", left).unionByName(once)
+    return left.select(*names).toDF(*docs.columns)
