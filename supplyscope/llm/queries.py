@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decision_list, ecoc, latent, licenses, line_dedup, link_trust, mixing, ngram_join, ring
+from supplyscope.sources import scratch_dir
+
+from . import decision_list, ecoc, fixity, latent, licenses, line_dedup, link_trust, mixing, ngram_join, ring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +43,24 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring.manifest(_table(spark, sf_dir, "documents"))
 
 
+def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC files in two replicas, the second with damage by a rule on the record id, and the audit."""
+    records = fixity.warc_records(_table(spark, sf_dir, "pages"))
+    first, second = (scratch_dir(spark, f"replica-{k}") for k in (1, 2))
+    fixity.write_warc(records, first)
+    lot = F.crc32(F.col("id").cast("binary")) % 97
+    fixity.write_warc(damaged(records, lot), second)
+    found = fixity.audit(spark, first, second)
+    name = F.split(F.coalesce("id", "other_id"), ":")
+    return found.withColumn("page_id", F.when(F.size(name) > 2, F.expr("try_cast(get(split(coalesce(id, other_id), ':'), 2) AS BIGINT)")))
+
+
+def damaged(records: DataFrame, lot: Column) -> DataFrame:
+    """Of ``records``, those with lot 0 get another last letter, and those with lot 1 are lost."""
+    cut = F.expr("concat(substring(record, 1, length(record) - 5), '~', right(record, 4))")
+    return records.where(lot != 1).withColumn("record", F.when(lot == 0, cut).otherwise(F.col("record")))
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_trust.judged(_table(spark, sf_dir, "pages"))
 
@@ -54,7 +75,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_language_id, op3_license_scans, op4_source_mixing, op5_ngram_jaccard_join, op6_sharding, op8_url_filters, op9_quality_rules, op10_benchmark_decontamination)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_language_id, op3_license_scans, op4_source_mixing, op5_ngram_jaccard_join, op6_sharding, op7_warc_fixity, op8_url_filters, op9_quality_rules, op10_benchmark_decontamination)}
 
 
 _OP5 = r"""
