@@ -111,7 +111,8 @@ class Model:
     def __init__(self, languages: list[str], counts: np.ndarray):
         self.languages = languages
         self.code = codewords(len(languages))
-        shares = (counts + 0.5) / (counts + 0.5).sum(1, keepdims=True)
+        # A trigram that no language has tells nothing, however much text each language has.
+        shares = counts / np.maximum(counts.sum(1, keepdims=True), 1) + 0.5 / max(counts.sum() / max(len(counts), 1), 1)
         ones, others = self.code.T > 0, self.code.T < 0
         self.weights = np.zeros((BUCKETS, self.code.shape[1]), np.float32)
         for k in range(self.code.shape[1]):

@@ -123,13 +123,17 @@ def audit(spark: SparkSession, first: str, second: str) -> DataFrame:
     """Where two replicas differ: ``volume, node, id, offset, length, other_id, other_offset, other_length, damage``.
 
     ``damage`` is ``changed``, ``missing`` (only in the first), or ``extra`` (only in the second). Nodes are ranges of
-    places in a volume; under the ranges that differ, records are paired by id, and those without a partner
-    by place, so that one lost record is one finding, though it moves all behind it.
+    places in a volume; under the ranges that differ, records are paired by id, and damaged ones
+    without id with what followed the same record, so that one lost record is one finding, though it moves
+    all behind it.
 
     - Equal replicas, also empty ones, give no rows. A volume that one replica lacks is missing record by record.
     """
     order = Window.partitionBy("volume").orderBy("offset")  # a volume is one file, which one task writes and reads
-    sides = [materialise(read_warc(spark, p).withColumn("node", F.row_number().over(order).cast("long") - 1), "leaves") for p in (first, second)]
+    sides = []
+    for path in (first, second):
+        leaves = read_warc(spark, path).withColumn("node", F.row_number().over(order).cast("long") - 1)
+        sides.append(materialise(leaves.withColumn("before", F.lag("id").over(order)), "leaves"))
     last = max(s.agg(F.max("node")).first()[0] or 0 for s in sides)
     inside = [_levels(s, last, "ranges") for s in sides]
     tops = [x[-1].select(F.lit(None).cast("long").alias("volume"), F.col("volume").alias("node"), "digest") for x in inside]
@@ -160,17 +164,20 @@ def _differing(sides: tuple[DataFrame, DataFrame], above: DataFrame | None) -> D
 
 
 def _findings(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Differing records of both sides, paired by id, else by place."""
-    left = a.select("volume", F.col("node").alias("place"), "id", "offset", "length", "digest")
-    right = b.select(F.col("volume").alias("v2"), F.col("node").alias("place2"), F.col("id").alias("id2"), F.col("offset").alias("offset2"), F.col("length").alias("length2"), F.col("digest").alias("d2"))
-    same = left.join(right, (F.col("volume") == F.col("v2")) & (F.col("id") == F.col("id2")), "full")
-    matched = same.where("volume IS NOT NULL AND v2 IS NOT NULL AND digest != d2")
-    alone = same.where("v2 IS NULL").select(*left.columns)
+    """Differing records of both sides, paired by id, else by the id of the record before them."""
+    left = a.select("volume", F.col("node").alias("place"), "id", "before", "offset", "length", "digest")
+    right = b.select("volume", F.col("node").alias("place"), "id", "before", "offset", "length", "digest")
+    right = right.select(*[F.col(c).alias(f"{c}2") for c in right.columns])
+    volume = F.col("volume") == F.col("volume2")
+    same = materialise(left.join(right, volume & (F.col("id") == F.col("id2")), "full"), "paired")
+    matched = same.where("volume IS NOT NULL AND volume2 IS NOT NULL AND digest != digest2")
+    alone = same.where("volume2 IS NULL").select(*left.columns)
     others = same.where("volume IS NULL").select(*right.columns)
-    rest = alone.join(others, (F.col("volume") == F.col("v2")) & (F.col("place") == F.col("place2")), "full")
+    # A record without id stands for the lost one that followed the same record.
+    rest = alone.join(others, volume & F.col("id2").isNull() & F.col("before").eqNullSafe(F.col("before2")), "full")
     out = matched.unionByName(rest)
-    damage = F.when(F.col("v2").isNull(), "missing").when(F.col("volume").isNull(), "extra").otherwise("changed")
+    damage = F.when(F.col("volume2").isNull(), "missing").when(F.col("volume").isNull(), "extra").otherwise("changed")
     return out.select(
-        F.coalesce("volume", "v2").alias("volume"), F.coalesce("place", "place2").alias("node"), "id", "offset", "length",
+        F.coalesce("volume", "volume2").alias("volume"), F.coalesce("place", "place2").alias("node"), "id", "offset", "length",
         F.col("id2").alias("other_id"), F.col("offset2").alias("other_offset"), F.col("length2").alias("other_length"), damage.alias("damage"),
     )

@@ -184,7 +184,7 @@ class Model:
         return p / p.sum()
 
     def _calibrate(self, held: list[tuple[int, list[str]]]) -> None:
-        """Temperature of least log loss, then the probability above which no more than 1 in 200 unknowns lies."""
+        """Temperature of least log loss, then the probability above which no more than 1 in 50 unknowns lies."""
         z = np.array([self._scores(w) for _, w in held])
         y = np.array([k for k, _ in held])
         best = None
@@ -195,7 +195,7 @@ class Model:
                 best = (loss, t, np.exp(q) / np.exp(q).sum(1, keepdims=True))
         self.temperature = best[1]
         top = np.sort(best[2][y == len(self.families) - 1][:, :-1].max(1)) if (y == len(self.families) - 1).any() else np.zeros(1)
-        self.least = float(max(0.4, top[min(len(top) - 1, int(0.995 * len(top)))]))
+        self.least = float(max(0.4, top[min(len(top) - 1, int(0.98 * len(top)))]))
 
     def similarity(self, family: str, words: list[str]) -> tuple[float, str]:
         """Share of the words of the family's best notice that the passage has in order, and the notice."""
