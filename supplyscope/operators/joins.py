@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 # size. It also bounds the list of such keys: there are fewer than rows / HOT_ROWS of them.
 HOT_ROWS = 4_000_000
 
-# Rows with a null key, which match nothing in a plain join, are spread over this many pieces.
+# Rows whose keys are null are spread over this many pieces: unknown keys pile up like no other.
 NULL_PIECES = 1024
 
 
@@ -86,18 +86,19 @@ def spread_join(
         .filter(F.col("__rows") > hot_rows)
         .select(*keys, F.ceil(F.col("__rows") / hot_rows).cast("int").alias("__pieces"))
     )
-    # Safe to broadcast: fewer than rows / hot_rows keys can be hot.
-    left_hot = join_on(left, F.broadcast(hot), keys, "left", null_safe)
+    left_hot = join_on(left, hot, keys, "left", null_safe)
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
     piece = F.when(F.col("__pieces").isNotNull(), F.pmod(row_hash, F.col("__pieces"))).otherwise(F.lit(0))
-    if not null_safe:
-        # A null key matches nothing, so its rows can go to any piece and need not pile up in one.
-        unknown = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
-        piece = F.when(unknown, F.pmod(row_hash, F.lit(NULL_PIECES))).otherwise(piece)
+    # Null keys may arise in the left side and be none in ``counted``, so they are always spread. In a plain join
+    # a null key matches nothing; in a null-safe one the all-null key's right rows are repeated for it.
+    unknown = reduce((lambda a, b: a & b) if null_safe else (lambda a, b: a | b), [F.col(f"`{k}`").isNull() for k in keys])
+    piece = F.when(unknown, F.pmod(row_hash, F.lit(NULL_PIECES))).otherwise(piece)
     left_cut = left_hot.withColumn("__piece", piece.cast("int")).drop("__pieces")
 
-    right_hot = join_on(right, F.broadcast(hot), keys, "left", null_safe)
+    right_hot = join_on(right, hot, keys, "left", null_safe)
     last_piece = F.coalesce(F.col("__pieces"), F.lit(1)) - 1
+    if null_safe:
+        last_piece = F.when(unknown, F.lit(NULL_PIECES - 1)).otherwise(last_piece)
     right_cut = right_hot.withColumn("__piece", F.explode(F.sequence(F.lit(0), last_piece))).drop("__pieces")
 
     return join_on(left_cut, right_cut, keys + ["__piece"], how, null_safe).drop("__piece")

@@ -41,9 +41,6 @@ from ..operators import (
 )
 from .constants import DOCUMENT_LINKS, DOCUMENT_TYPES, PDF_URLS
 
-NEWEST_FAILED = 1000
-
-
 # --- documentation -----------------------------------------------------------------------------
 
 
@@ -228,10 +225,10 @@ def failed_resources(tables: Mapping[str, DataFrame]) -> DataFrame:
     return inner_on(failed, current, ["resource"])
 
 
-def flagged_failed_resources(tables: Mapping[str, DataFrame], newest: int | None = NEWEST_FAILED) -> DataFrame:
-    """The newest failed resources (all for ``newest=None``), classified, with advice on retiring.
+def flagged_failed_resources(tables: Mapping[str, DataFrame], newest: int | None = None) -> DataFrame:
+    """All failed resources, or the ``newest`` so many, classified, with advice on retiring.
 
-    The report lists the newest; the probes it consults are captured beforehand in ``url_probe``.
+    The probes it consults are captured beforehand in ``url_probe``.
     """
     failed = failed_resources(tables)
     chosen = failed if newest is None else latest(failed, "start_date", newest, ["resource", "dataset"])

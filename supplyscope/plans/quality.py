@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -283,11 +284,23 @@ def supply_summary(marks: DataFrame, keys: Sequence[str], criteria: Sequence[str
     return materialise(summary, "supply-summary")
 
 
+def only_listed(marks: DataFrame, criteria: Sequence[str] | None) -> DataFrame:
+    """The same rows; the job stops, naming it, at a mark against a criterion that is not listed."""
+    if criteria is None:
+        return marks
+    named = F.col("quality_criteria")
+    stop = F.raise_error(F.concat(F.lit("criterion is not listed: "), named)).cast("boolean")
+    return marks.filter(F.when(named.isNotNull() & ~named.isin(list(criteria)), stop).otherwise(F.lit(True)))
+
+
 def criteria_matrix(summary: DataFrame, criteria: Sequence[str]) -> DataFrame:
-    """One row per owner; a criterion holds if it holds in all of the owner's summary rows."""
+    """One row per owner; a criterion holds if it holds in all of the owner's summary rows, or if the owner's
+    pipeline, organisation or name is unknown."""
     if not criteria:
         return summary.select(*_OWNER).distinct()
-    return summary.groupBy(*_OWNER).agg(*[F.bool_and(f"`{c}`").alias(c) for c in criteria])
+    # Issues are counted by owner, and counting leaves out owners of which a key is unknown.
+    unknown = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in _OWNER])
+    return summary.groupBy(*_OWNER).agg(*[(F.bool_and(f"`{c}`") | F.first(unknown)).alias(c) for c in criteria])
 
 
 def quality_single_source(
@@ -295,11 +308,12 @@ def quality_single_source(
 ) -> DataFrame:
     """Criteria and level of each supply of the single-source datasets.
 
-    ``criteria`` lists the criterion columns; without it those that occur are looked up first.
+    ``criteria`` lists the criterion columns, and an issue against another stops the job; without it those
+    that occur are looked up first.
     """
     datasets = single_source_datasets(tables)
     resources = supplied_resources(tables, datasets, as_of)
-    marked = left_on(resources, issue_marks(tables), ["resource"])
+    marked = only_listed(left_on(resources, issue_marks(tables), ["resource"]), criteria)
     names = list(criteria) if criteria is not None else distinct_values(marked, "quality_criteria")
     oldest = F.max("resource_age_days").alias("resource_age_days")
     summary = supply_summary(marked, ["collection", *_OWNER], names, oldest)
@@ -365,9 +379,12 @@ def scored_marks(tables: Mapping[str, DataFrame], datasets: Sequence[str] | None
     )
 
 
-def _scored_summary(tables: Mapping[str, DataFrame], datasets: Sequence[str], criteria: Sequence[str]) -> DataFrame:
+def _scored_summary(
+    tables: Mapping[str, DataFrame], datasets: Sequence[str], criteria: Sequence[str], listed: Sequence[str] | None = None
+) -> DataFrame:
     has_endpoint = F.bool_or("has_endpoint").alias("has_endpoint")
-    return supply_summary(scored_marks(tables, datasets), ["lpa_code", *_OWNER], criteria, has_endpoint)
+    marks = only_listed(scored_marks(tables, datasets), listed)
+    return supply_summary(marks, ["lpa_code", *_OWNER], criteria, has_endpoint)
 
 
 def _scored_levels(tables: Mapping[str, DataFrame], summary: DataFrame, datasets: Sequence[str]) -> DataFrame:
@@ -404,11 +421,12 @@ def quality_detail(tables: Mapping[str, DataFrame], criteria: Sequence[str] | No
     """One line per supply: which criteria it fails, the checks, and its level.
 
     Expected supplies that do not exist are added as lines without data. ``criteria`` lists the
-    criterion columns; without it those that occur in any dataset are looked up first.
+    criterion columns, and a mark against another stops the job; without it those that occur in any dataset
+    are looked up first.
     """
     datasets = detail_datasets(tables)
     names = list(criteria) if criteria is not None else distinct_values(scored_marks(tables), "quality_criteria")
-    summary = _scored_summary(tables, datasets, names)
+    summary = _scored_summary(tables, datasets, names, criteria)
     matrix = criteria_matrix(summary, names)
     report = _attach(matrix, _scored_levels(tables, summary, datasets), _CHECKS)
     placed = left_on(report, _odp_provisions(tables), _SUPPLY, null_safe=True)

@@ -202,11 +202,11 @@ def queries() -> dict[str, Query]:
         "duplicate_pairs_geo": _report(plans.duplicate_pairs_geo, *_DUPLICATES),
         "endpoints_documentation": _report(plans.endpoints_documentation, *_DOCUMENTATION),
         "documentation_stats": _report(plans.documentation_stats, *_DOCUMENTATION),
-        "documentation_top": _report(plans.documentation_top, *_DOCUMENTATION),
+        "documentation_top": _report(plans.documentation_top, *_DOCUMENTATION, k=3),
         "endpoints_no_provision": _report(plans.endpoints_no_provision, *_PROVISION),
         "endpoints_pdf_only": _report(plans.endpoints_pdf_only, *_PROVISION),
-        "flagged_failed_resources": _report(plans.flagged_failed_resources, *_FAILED),
-        "flagged_failed_resources_all": _report(plans.flagged_failed_resources, *_FAILED, newest=None),
+        "flagged_failed_resources": _report(plans.flagged_failed_resources, *_FAILED, newest=100),
+        "flagged_failed_resources_all": _report(plans.flagged_failed_resources, *_FAILED),
         "resource_detailed_counts": _report(plans.resource_detailed_counts, *_COUNTS),
         "resource_vs_platform": _report(plans.resource_vs_platform, *_COUNTS),
         "dataset_scope": _report(plans.dataset_scope, "provision_rule"),

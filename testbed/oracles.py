@@ -219,9 +219,10 @@ scored AS (
   SELECT *, CASE WHEN has_zero_entities THEN 0 WHEN is_authoritative THEN rung + 3 ELSE rung END AS quality_level FROM levels)"""
 
 
-def _flags(criteria) -> str:
+def _flags(criteria, name: str) -> str:
     return ",\n    ".join(
-        f"""CASE WHEN count(*) FILTER (WHERE quality_criteria = '{c}' AND quality_level IS NOT NULL) > 0
+        f"""CASE WHEN count(*) FILTER (WHERE quality_criteria = '{c}' AND quality_level IS NOT NULL
+          AND pipeline IS NOT NULL AND organisation IS NOT NULL AND {name} IS NOT NULL) > 0
         THEN 'TRUE' ELSE 'FALSE' END AS "{c}\""""
         for c in criteria
     )
@@ -253,7 +254,7 @@ capped AS (
   FROM scored s LEFT JOIN ages g ON g.pipeline = s.pipeline AND g.organisation IS NOT DISTINCT FROM s.organisation),
 matrix AS (
   SELECT pipeline, organisation, name AS organisation_name,
-    {_flags(CRITERIA)}
+    {_flags(CRITERIA, 'name')}
   FROM marked GROUP BY pipeline, organisation, name)
 SELECT m.pipeline, m.organisation, m.organisation_name, {columns},
        {_bool('is_authoritative', 'd')}, {_bool('authoritative_check_available', 'd')}, {_bool('has_zero_entities', 'd')},
@@ -326,7 +327,7 @@ def _detail() -> str:
 WITH {_CURRENT.format(scope='')}, {_LPA_MARKS}, {_LEVELS}, {_ODP_ROWS},
 matrix AS (
   SELECT pipeline, organisation, organisation_name,
-    {_flags(LPA_CRITERIA)}
+    {_flags(LPA_CRITERIA, 'organisation_name')}
   FROM marks WHERE pipeline IN ({_list(SCOPED)}) GROUP BY pipeline, organisation, organisation_name),
 checks AS (
   SELECT DISTINCT pipeline, organisation, is_authoritative, authoritative_check_available, has_zero_entities FROM scored),
@@ -515,13 +516,13 @@ FROM catalogue""",
         "documentation_top": f"""
 WITH {_CATALOGUE}
 SELECT pipeline AS "pipeline/dataset", count(*) AS missing_count FROM catalogue
-WHERE documentation_missing AND pipeline IS NOT NULL GROUP BY pipeline ORDER BY 2 DESC, 1 LIMIT 10""",
+WHERE documentation_missing AND pipeline IS NOT NULL GROUP BY pipeline ORDER BY 2 DESC, 1 LIMIT 3""",
         "endpoints_no_provision": f"""
 WITH {_NO_PROVISION} SELECT endpoint, source, collection, endpoint_url, organisation, dataset FROM gaps""",
         "endpoints_pdf_only": f"""
 WITH {_NO_PROVISION} SELECT endpoint, source, collection, endpoint_url, organisation, dataset FROM gaps
 WHERE ends_with(lower(coalesce(endpoint_url, '')), '.pdf')""",
-        "flagged_failed_resources": _failed("LIMIT 1000"),
+        "flagged_failed_resources": _failed("LIMIT 100"),
         "flagged_failed_resources_all": _failed(""),
         "resource_detailed_counts": f"""
 WITH {_RESOURCE_ROWS}
@@ -531,11 +532,11 @@ FROM counted GROUP BY ALL""",
         "resource_vs_platform": f"""
 WITH {_RESOURCE_ROWS},
 act AS (
-  SELECT dataset, name, organisation, sum(entity_count) AS a, CAST(sum(entry_count) AS BIGINT) AS b,
+  SELECT dataset, coalesce(name, '') AS name, coalesce(organisation, '') AS organisation, sum(entity_count) AS a, CAST(sum(entry_count) AS BIGINT) AS b,
          CAST(sum(line_count) AS BIGINT) AS c, count(DISTINCT endpoint) AS d, count(DISTINCT resource) AS e
   FROM counted GROUP BY ALL),
 ina AS (
-  SELECT dataset, name, organisation, count(DISTINCT endpoint) AS f, count(DISTINCT resource) AS g
+  SELECT dataset, coalesce(name, '') AS name, coalesce(organisation, '') AS organisation, count(DISTINCT endpoint) AS f, count(DISTINCT resource) AS g
   FROM first_rows WHERE NOT is_active GROUP BY ALL),
 summary AS (
   SELECT dataset, name, organisation, coalesce(a, 0) AS a, coalesce(b, 0) AS b, coalesce(c, 0) AS c, coalesce(d, 0) AS d,

@@ -64,7 +64,8 @@ SELECT 'E' || {_text('c_custkey')} AS reference, c_name AS name,
        CASE WHEN c_custkey % 6 <> 1 THEN 'MULTIPOLYGON EMPTY' END AS geometry
 FROM customer""",
     "historic_endpoint": f"""
-SELECT o_orderkey AS rowid, {_code('o_custkey')} AS organisation, {_name('o_custkey')} AS name,
+SELECT o_orderkey AS rowid, {_code('o_custkey')} AS organisation,
+       CASE WHEN o_custkey % 19 != 7 THEN {_name('o_custkey')} END AS name,
        CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE {_name('o_custkey')} END AS organisation_name,
        {_SPATIAL_PIPELINE} AS dataset, {_SPATIAL_PIPELINE} AS pipeline,
        'c-' || substr(o_orderpriority, 1, 1) AS collection,
@@ -100,7 +101,7 @@ SELECT CASE WHEN user_id % 17 = 0 THEN NULL ELSE 'ep' || {_text('user_id')} END
             ELSE 200 END AS status
 FROM events""",
     "operational_issue": """
-SELECT CAST(entry_date AS DATE) AS entry_date FROM log WHERE status = 500""",
+SELECT CAST(entry_date AS DATE) AS entry_date FROM log""",
     "latest_endpoint": f"""
 SELECT CASE WHEN o_custkey % 4 = 1 THEN 'former:' || {_text('o_custkey')} ELSE {_code('o_custkey')} END
          || CASE WHEN o_custkey % 3 = 0 THEN '-eng' ELSE '' END AS organisation,
@@ -183,11 +184,13 @@ SELECT DISTINCT {_code('o_custkey')} AS organisation, {_pick('o_orderkey % 5', S
        CASE WHEN o_custkey % 8 = 0 THEN 'local-plan' ELSE 'data-standard' END AS specification
 FROM orders""",
     "provision_rule": """
-SELECT * FROM (VALUES ('tree', 'open-digital-planning', 'expected', 'local-planning-authority'),
-  ('conservation-area', 'open-digital-planning', 'encouraged', 'local-planning-authority'),
-  ('listed-building-outline', NULL, 'encouraged', 'other'), ('brownfield-land', NULL, 'statutory', NULL),
-  ('article-4-direction-area', NULL, 'alternative', NULL), (NULL, NULL, 'expected', NULL))
-  AS t(dataset, project, provision_reason, role)""",
+SELECT CASE k WHEN 0 THEN 'tree' WHEN 1 THEN 'conservation-area' WHEN 2 THEN 'listed-building-outline'
+              WHEN 3 THEN 'brownfield-land' WHEN 4 THEN 'article-4-direction-area' END AS dataset,
+       CASE WHEN k < 2 THEN 'open-digital-planning' END AS project,
+       CASE k WHEN 1 THEN 'encouraged' WHEN 2 THEN 'encouraged' WHEN 3 THEN 'statutory' WHEN 4 THEN 'alternative'
+              ELSE 'expected' END AS provision_reason,
+       CASE WHEN k < 2 THEN 'local-planning-authority' WHEN k = 2 THEN 'other' END AS role
+FROM (SELECT o_custkey % 6 AS k FROM orders) AS numbered""",
     "expectation": f"""
 SELECT p_partkey * 4 AS rowid, {_pick('p_partkey % 5', SPATIAL)} AS dataset, {_code('p_partkey')} AS organisation,
        'count_deleted_entities' AS operation, 'deleted' AS name, '' AS message,

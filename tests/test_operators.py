@@ -83,6 +83,27 @@ def test_spread_join_and_number_within_leave_no_task_with_the_hot_key(spark):
             spark.conf.set(k, v)
 
 
+def test_spread_join_splits_null_keys_that_were_not_counted(spark):
+    left = spark.range(20_000).select(
+        F.when(F.col("id") % 10 == 0, F.concat(F.lit("k"), F.col("id").cast("string"))).alias("k"), F.col("id").alias("rowid")
+    )
+    right = spark.createDataFrame([(None, 1), ("k10", 2)], "k string, v int")
+    counted = left.dropna().select("k")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = O.spread_join(left, right, ["k"], null_safe=True, counted=counted, hot_rows=1000)
+        per_task = joined.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("v")).collect()
+        assert max(r.n for r in per_task) < 5_000
+        assert sum(r.n for r in per_task) == 20_000 and sum(r.v or 0 for r in per_task) == 18_002
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_left_join_m1_stops_on_a_repeated_key(spark, rows):
     left = spark.createDataFrame([("a",), (None,)], "k string")
     once = spark.createDataFrame([("a", 1), (None, 2), ("c", 3)], "k string, v int")
@@ -187,6 +208,9 @@ def test_top_latest_page(spark):
     assert [r.n for r in O.page(df, ["n"], 2, 1).collect()] == [3, 4]
     with pytest.raises(ValueError):
         O.page(df, [], 2, 1)
+    assert O.page(df, ["n"], 2, 3).collect() == [] and O.page(df.limit(0), ["n"], 2, 0).collect() == []
+    many = spark.range(5_000).select((F.col("id") * 7919 % 5_000).alias("n"))
+    assert [r.n for r in O.page(many, ["n"], 100, 41).collect()] == list(range(4_100, 4_200))
 
 
 def test_sets(spark, rows):
