@@ -227,8 +227,9 @@ class Model:
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Trains with at most ``sample`` paragraphs of the corpus, those of lowest hash, as examples of ``unknown``."""
     lines = docs.select(F.explode(F.split(F.col("text").cast("string"), "\n")).alias("line")).where("length(line) BETWEEN 20 AND 2000")
-    rows = lines.select(F.xxhash64("line").alias("h"), "line").orderBy("h", "line").limit(sample).collect()
-    return Model(sorted({r.line for r in rows}))
+    lowest = lines.select(F.xxhash64("line").alias("h"), "line").orderBy("h", "line").limit(sample)
+    # A limit that is not the last step is cut on an executor; else every task would send its own sample to the driver.
+    return Model(sorted(r.line for r in lowest.select("line").distinct().collect()))
 
 
 _FOUND = "doc_id long, line long, family string, probability double, similarity double, notice string, passage string"
