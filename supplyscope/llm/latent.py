@@ -9,10 +9,12 @@
    latent axes tell them apart, and what is common in the corpus counts little. The sums are words of the
    benchmark x ``SKETCH`` numbers, however large the corpus is.
 2. Search, one pass: passages that overlap by half are projected into the latent space, every axis scaled by its
-   singular value, and compared with all items of a block: by cosine, and by how much of the item's vector
-   they hold.
-3. Check: around a candidate passage, the longest common subsequence of words with the item must hold most of
-   the item within one and a half times its length, and half of its answer, the last sentence.
+   singular value, and compared with all queries of a block: by cosine, and by how much of the query's vector
+   they hold. A query is an item, or for one of more than ``WINDOW`` words each of its passages that overlap by half;
+   short items are compared with shorter passages of the texts.
+3. Check: in the text around its candidate passages, as far as the whole item reaches, the longest common
+   subsequence of words with the item must hold most of the item within one and a half times its length, and half
+   of its answer, the last sentence.
 """
 
 from __future__ import annotations
@@ -30,7 +32,9 @@ from .words import mix, text_slices, word_hashes
 _U = np.uint64
 RANK, SKETCH, TILE = 128, 16, 32
 WINDOW = 2 * TILE
-#: Items of one block; a larger benchmark takes more passes over the texts.
+#: Most words of an item, and the tile of texts of which two are compared with it; longer ones take ``TILE``.
+SHORT = ((6, 4), (12, 8), (24, 16))
+#: Queries of one block; a larger benchmark takes more passes over the texts.
 MOST_ITEMS = 1000
 COSINE, HELD, SHARE, ANSWER = 0.35, 0.35, 0.6, 0.5
 _BYTES = 1 << 20
@@ -120,12 +124,12 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _fit(docs: DataFrame, items: dict) -> dict:
-    """Adds to a block of items the projection of word counts into the latent space and the items' vectors there.
+    """Adds to a block of items the projection of word counts into the latent space and the queries' vectors there.
 
     On the driver: sums of words x ``SKETCH`` numbers from as many tasks as one reduction leaves, and linear
-    algebra on matrices of items x words at most.
+    algebra on matrices of queries x words at most.
     """
-    vocabulary, counts = items["vocabulary"], items["counts"]
+    vocabulary, counts = items["vocabulary"], items["counts"]  # of the queries
     parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_sketch(vocabulary), _SUMS)
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while partitions > 1:  # a tree of sums, so that no task reads many
@@ -153,8 +157,18 @@ def _fit(docs: DataFrame, items: dict) -> dict:
     return items | {"projection": projection, "vectors": vectors / norms, "norms": norms[:, 0], "sieve": _sieve(vocabulary)}
 
 
+def _queries(words: list[np.ndarray]) -> list[tuple[int, int, int, int]]:
+    """Item, first word, end and tile of each query: short items whole, others in passages that overlap by half."""
+    out = []
+    for k, w in enumerate(words):
+        m = len(w)
+        tile = next((t for most, t in SHORT if m <= most), TILE)
+        out += [(k, max(0, min(a, m - WINDOW)), min(a + WINDOW, m), tile) for a in range(0, max(1, m - TILE), TILE)]
+    return out
+
+
 def _prepared(ids: list, texts: list[str]) -> dict | None:
-    """Items with words: ids, word hashes, how many of them are the answer; their vocabulary and word counts."""
+    """Items with words: ids, word hashes, how many of them are the answer; their vocabulary, queries and word counts."""
     out: dict = {"ids": [], "words": [], "answer": []}
     for item_id, text in zip(ids, texts, strict=True):
         _, _, data, offsets = next(text_slices(pa.array([text])))
@@ -170,8 +184,12 @@ def _prepared(ids: list, texts: list[str]) -> dict | None:
     if not out["ids"]:
         return None
     vocabulary = np.unique(np.concatenate(out["words"]))
-    counts = np.array([np.bincount(np.searchsorted(vocabulary, w), minlength=len(vocabulary)) for w in out["words"]], np.float64)
-    return out | {"vocabulary": vocabulary, "counts": counts}
+    queries = _queries(out["words"])
+    counts = np.zeros((len(queries), len(vocabulary)))
+    for row, (k, a, b, _) in zip(counts, queries, strict=True):
+        np.add.at(row, np.searchsorted(vocabulary, out["words"][k][a:b]), 1)
+    item, _, _, tile = np.array(queries).T
+    return out | {"vocabulary": vocabulary, "counts": counts, "item": item, "tile": tile}
 
 
 def _lcs(masks: dict[int, int], words: list[int], length: int) -> int:
@@ -189,6 +207,9 @@ def _check(words: np.ndarray, item: np.ndarray, answer: int) -> tuple[int, int,
     there = set(text)
     if sum(word in there for word in listed) < SHARE * m:
         return None
+    own = np.sort(item)
+    place = np.minimum(np.searchsorted(own, words), m - 1)
+    known = np.concatenate(([0], np.cumsum(own[place] == words)))
     masks: dict[int, int] = {}
     for k, word in enumerate(listed):
         masks[word] = masks.get(word, 0) | 1 << k
@@ -198,6 +219,8 @@ def _check(words: np.ndarray, item: np.ndarray, answer: int) -> tuple[int, int,
     span, step, best = -(-3 * m // 2), max(1, m // 4), None
     for at in range(0, max(1, len(text) - span + step), step):
         part = text[at : at + span]
+        if known[at + len(part)] - known[at] < SHARE * m:
+            continue
         common = _lcs(masks, part, m)
         if common >= SHARE * m and (best is None or common > best[0]):
             last = _lcs(tail, part, answer)
@@ -207,23 +230,44 @@ def _check(words: np.ndarray, item: np.ndarray, answer: int) -> tuple[int, int,
 
 
 def _candidates(words: np.ndarray, first: np.ndarray, items: dict):
-    """First word, text, item and cosine of the passages that may hold an item."""
-    starts, owner = _starts(first, TILE)
+    """First word, length, text, query and cosine of the passages that may hold a query."""
     at, term = _known(words, items["vocabulary"], items["sieve"])
-    tile = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(words))))[at]
+    size = int(items["tile"].min())
+    starts, owner = _starts(first, size)
     held = np.zeros((len(starts), items["projection"].shape[1]), np.float32)
     if len(at):
+        tile = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(words))))[at]
         begin = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
         held[tile[begin]] = np.add.reduceat(items["projection"][term], begin)
-    pair = np.flatnonzero(np.r_[owner[1:] == owner[:-1], False])
-    alone = np.flatnonzero(np.diff(np.append(np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]), len(owner))) == 1)
-    single = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])[alone]
-    passages = np.concatenate([held[pair] + held[pair + 1], held[single]])
-    where = np.concatenate([pair, single])
-    products = passages @ items["vectors"].T
-    norms = np.linalg.norm(passages, axis=1)
-    w, k = np.nonzero((products >= COSINE * norms[:, None]) & (products >= HELD * items["norms"]))
-    return starts[where[w]], owner[where[w]], k, products[w, k] / np.maximum(norms[w], 1e-12)
+    found = []
+    while True:
+        k = np.flatnonzero(items["tile"] == size)
+        if len(k):
+            head = np.r_[True, owner[1:] != owner[:-1]]
+            pair = np.flatnonzero(np.r_[owner[1:] == owner[:-1], False])
+            single = np.flatnonzero(head & np.r_[head[1:], True])
+            passages = np.concatenate([held[pair] + held[pair + 1], held[single]])
+            where = np.concatenate([pair, single])
+            products = passages @ items["vectors"][k].T
+            norms = np.linalg.norm(passages, axis=1)
+            w, q = np.nonzero((products >= COSINE * norms[:, None]) & (products >= HELD * items["norms"][k]))
+            found.append((starts[where[w]], np.full(len(w), 2 * size), owner[where[w]], k[q], products[w, q] / np.maximum(norms[w], 1e-12)))
+        if size == TILE:
+            return [np.concatenate(c) for c in zip(*found, strict=True)]
+        # Two tiles of a text make one of the next size.
+        head = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        number = np.arange(len(owner)) - np.repeat(head, np.diff(np.append(head, len(owner))))
+        even = np.flatnonzero(number % 2 == 0)
+        held, starts, owner, size = np.add.reduceat(held, even), starts[even], owner[even], 2 * size
+
+
+def _regions(at: np.ndarray, length: np.ndarray, span: int, begin: int, end: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Stretches of a text within ``span`` words of passages, merged, and which passages are in each."""
+    order = np.argsort(at, kind="stable")
+    lo, hi = np.maximum(begin, at[order] - span), np.minimum(end, np.maximum.accumulate(at[order] + length[order]) + span)
+    new = np.flatnonzero(np.r_[True, lo[1:] > hi[:-1]])
+    for a, b in zip(new, np.append(new[1:], len(at)), strict=True):
+        yield int(lo[a]), int(hi[b - 1]), order[a:b]
 
 
 def _matches(text: pa.Array, items: dict) -> Iterator[tuple[int, int, float, int, int, int]]:
@@ -232,14 +276,22 @@ def _matches(text: pa.Array, items: dict) -> Iterator[tuple[int, int, float, int
         words, _, _, first = word_hashes(data, offsets)
         if not len(words):
             continue
-        seen: dict[tuple[int, int], tuple] = {}
-        for at, row, k, cosine in zip(*_candidates(words, first, items), strict=True):
-            lo, hi = max(first[row], at - TILE), min(first[row + 1], at + WINDOW + TILE)
-            found = _check(words[lo:hi], items["words"][k], items["answer"][k])
-            if found and ((int(row), int(k)) not in seen or found[0] > seen[int(row), int(k)][1]):
-                seen[int(row), int(k)] = (float(cosine), found[0], found[1], int(lo - first[row] + found[2]))
-        for (row, k), rest in sorted(seen.items()):
-            yield i + row, k, *rest
+        at, length, owner, query, cosine = _candidates(words, first, items)
+        if not len(at):
+            continue
+        item = items["item"][query]
+        order = np.lexsort((at, item, owner))
+        at, length, owner, item, cosine = (c[order] for c in (at, length, owner, item, cosine))
+        new = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (item[1:] != item[:-1])])
+        for a, b in zip(new, np.append(new[1:], len(at)), strict=True):
+            row, k, best = int(owner[a]), int(item[a]), None
+            span = -(-3 * len(items["words"][k]) // 2)
+            for lo, hi, which in _regions(at[a:b], length[a:b], span, first[row], first[row + 1]):
+                found = _check(words[lo:hi], items["words"][k], items["answer"][k])
+                if found and (best is None or found[0] > best[1]):
+                    best = (float(cosine[a:b][which].max()), found[0], found[1], int(lo - first[row] + found[2]))
+            if best:
+                yield i + row, k, *best
 
 
 _LEAKS = "doc_id long, item_id long, cosine double, common long, item_words long, answer_common long, answer_words long, first_word long"
@@ -270,9 +322,10 @@ def _clean(items: dict, text: str) -> Callable:
 
 
 def _blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[dict]:
-    """Fitted blocks of about ``MOST_ITEMS`` items by hash, so that what each pass is sent has a bound."""
+    """Fitted blocks of items with about ``MOST_ITEMS`` queries by hash, so that what each pass is sent has a bound."""
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text IS NOT NULL")
-    blocks = math.ceil(items.count() / MOST_ITEMS)
+    queries = F.greatest(F.lit(1), F.ceil(F.size(F.split("text", r"[\x20\x09-\x0D]+")) / TILE) - 1)
+    blocks = math.ceil((items.agg(F.sum(queries)).first()[0] or 0) / MOST_ITEMS)
     for k in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
         found = _prepared([r.item_id for r in rows], [r.text for r in rows])
@@ -281,7 +334,7 @@ def _blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[dict]:
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The items that documents leak, one row for each text and item: ids, ``cosine``, words in ``common`` of
+    """The items that documents leak, one row for each text and item: ids, ``cosine`` (the best of its passages), words in ``common`` of
     ``item_words``, ``answer_common`` of ``answer_words``, and the ``first_word`` of the passage.
 
     ``docs`` has ``doc_id`` and ``text``, ``benchmark`` has ``item_id`` and ``text``. Runs a job for the fit.

@@ -88,3 +88,38 @@ def test_common_subsequence():
             masks[x] = masks.get(x, 0) | 1 << k
         assert latent._lcs(masks, b, len(a)) == lcs(a, b)
     assert latent._prepared([1], [" "]) is None and isinstance(pa.array([1]), pa.Array)
+
+
+def test_items_of_all_lengths_are_found(spark):
+    """Copies, word for word and with one word in ten put otherwise, of items of 5 to 1000 words in Zipf text.
+
+    Items of more than 12 words are found wherever brute force finds them, too.
+    """
+    rng = random.Random(5)
+    often = [1 / (k + 1) for k in range(4000)]
+
+    def zipf(n):
+        return [f"w{k}" for k in rng.choices(range(4000), often, k=n)]
+
+    lengths = [5, 6, 7, 8, 10, 12, 13, 16, 20, 24, 25, 40, 64, 65, 96, 130, 160, 214, 300, 400, 700, 1000] * 2
+    items = [zipf(n) for n in lengths]
+    texts, planted = [], set()
+    for k in range(2 * len(items)):
+        item = list(items[k % len(items)])
+        if k >= len(items):
+            item = [w if i % 10 != 3 else f"other{i}" for i, w in enumerate(item)]
+        body = zipf(rng.choice([0, 50, 600]))
+        at = rng.randrange(len(body) + 1)
+        texts.append(" ".join(body[:at] + item + body[at:]))
+        planted.add((k, k % len(items)))
+    bench = spark.createDataFrame([(k, " ".join(t), "x") for k, t in enumerate(items)], BENCH)
+    rows = latent.leaks(table(spark, texts), bench).collect()
+    got = {(r.doc_id, r.item_id) for r in rows}
+    hashed = latent._prepared(list(range(len(items))), [" ".join(t) for t in items])
+    brute = set()
+    for d, text in enumerate(texts):
+        w = latent._prepared([d], [text])["words"][0]
+        brute |= {(d, k) for k, item in enumerate(hashed["words"]) if latent._check(w, item, len(item))}
+    assert planted <= brute
+    assert planted <= got, sorted((d, lengths[k]) for d, k in planted - got)
+    assert not {(d, k) for d, k in brute - got if lengths[k] > 12}
