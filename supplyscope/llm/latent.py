@@ -14,12 +14,14 @@
    short items are compared with shorter passages of the texts.
 3. Check: in the text around its candidate passages, as far as the whole item reaches, the longest common
    subsequence of words with the item must hold most of the item within one and a half times its length, and half
-   of its answer, the last sentence.
+   of its answer: the last sentence, with those before it until it has ``LEAST_ANSWER`` words. Where nearly all of
+   the item is there, the answer is not asked for. Words are compared without punctuation at their edges.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,7 +38,9 @@ WINDOW = 2 * TILE
 SHORT = ((6, 4), (12, 8), (24, 16))
 #: Queries of one block; a larger benchmark takes more passes over the texts.
 MOST_ITEMS = 1000
-COSINE, HELD, SHARE, ANSWER = 0.35, 0.35, 0.6, 0.5
+COSINE, HELD, SHARE, ANSWER, NEARLY = 0.35, 0.35, 0.6, 0.5, 0.9
+LEAST_ANSWER = 5
+_SENTENCE_END = re.compile(rb"[.!?](?=[ \t\n\x0b\x0c\r])|\n")
 _BYTES = 1 << 20
 
 
@@ -79,7 +83,7 @@ def _sketch(vocabulary: np.ndarray) -> Callable:
         signs, sieve = _signs(n), _sieve(vocabulary)
         for batch in batches:
             for _, _, data, offsets in text_slices(batch.column("text"), _BYTES):
-                words, _, _, first = word_hashes(data, offsets)
+                words, _, _, first = word_hashes(data, offsets, edges=False)
                 if not len(words):
                     continue
                 starts, _ = _starts(first, WINDOW)
@@ -172,15 +176,15 @@ def _prepared(ids: list, texts: list[str]) -> dict | None:
     out: dict = {"ids": [], "words": [], "answer": []}
     for item_id, text in zip(ids, texts, strict=True):
         _, _, data, offsets = next(text_slices(pa.array([text])))
-        words, start, _, _ = word_hashes(data, offsets)
+        words, start, _, _ = word_hashes(data, offsets, edges=False)
         if not len(words):
             continue
         body = text.encode().rstrip(b" \t\n\x0b\x0c\r.!?")
-        cut = max(body.rfind(c) for c in (b".", b"!", b"?", b"\n"))
-        answer = int((start > cut).sum())
+        tails = [int((start > m.start()).sum()) for m in _SENTENCE_END.finditer(body)]
+        answer = min((n for n in tails if n >= LEAST_ANSWER), default=len(words))
         out["ids"].append(item_id)
         out["words"].append(words)
-        out["answer"].append(answer if 0 < answer < len(words) else len(words))
+        out["answer"].append(answer)
     if not out["ids"]:
         return None
     vocabulary = np.unique(np.concatenate(out["words"]))
@@ -224,7 +228,7 @@ def _check(words: np.ndarray, item: np.ndarray, answer: int) -> tuple[int, int,
         common = _lcs(masks, part, m)
         if common >= SHARE * m and (best is None or common > best[0]):
             last = _lcs(tail, part, answer)
-            if last >= ANSWER * answer:
+            if last >= ANSWER * answer or common >= NEARLY * m:
                 best = (common, last, at)
     return best
 
@@ -273,7 +277,7 @@ def _regions(at: np.ndarray, length: np.ndarray, span: int, begin: int, end: int
 def _matches(text: pa.Array, items: dict) -> Iterator[tuple[int, int, float, int, int, int]]:
     """Row, item, cosine, common words, common words of the answer and first word of every leak found."""
     for i, _, data, offsets in text_slices(text, _BYTES):
-        words, _, _, first = word_hashes(data, offsets)
+        words, _, _, first = word_hashes(data, offsets, edges=False)
         if not len(words):
             continue
         at, length, owner, query, cosine = _candidates(words, first, items)

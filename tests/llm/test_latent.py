@@ -5,6 +5,7 @@ import pyarrow as pa
 from helpers import SCHEMA, messy, sentence, table, words
 
 from supplyscope.llm import latent
+from supplyscope.llm.words import text_slices, word_hashes
 
 BENCH = "item_id long, text string, extra string"
 
@@ -123,3 +124,26 @@ def test_items_of_all_lengths_are_found(spark):
     assert planted <= brute
     assert planted <= got, sorted((d, lengths[k]) for d, k in planted - got)
     assert not {(d, k) for d, k in brute - got if lengths[k] > 12}
+
+
+def test_short_and_altered_answers(spark):
+    """One changed last word or full stop does not hide a copy; without its longer answer, half an item is none."""
+    rng = random.Random(21)
+    item = sentence(rng, 25) + " is it? N."
+    other = sentence(rng, 20) + " 3.14 units. " + sentence(rng, 8) + "."
+    assert latent._prepared([0, 1], [item, other])["answer"] == [28, 8]
+    body = sentence(rng, 60)
+    texts = [f"{body} {item[:-2]}{end} {body}" for end in ("N.", "N", "(N),", "K.", "")]
+    texts += [f"{body} {other[:-1]}", f"{body} {' '.join(other.split()[:22])} {body}"]
+    bench = spark.createDataFrame([(0, item, "x"), (1, other, "x")], BENCH)
+    rows = latent.leaks(table(spark, texts), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(0, 0), (1, 0), (2, 0), (3, 0), (4, 0), (5, 1)}
+    assert {r.doc_id: r.common for r in rows if r.item_id == 0} == {0: 28, 1: 28, 2: 28, 3: 27, 4: 27}
+
+
+def test_edges_of_words():
+    texts = ["(Ab), ... c.d! -5", "", "'x'", "..."]
+    _, _, data, offsets = next(text_slices(pa.array(texts)))
+    _, start, end, first = word_hashes(data, offsets, edges=False)
+    assert [data[a:b].tobytes().decode() for a, b in zip(start, end, strict=True)] == ["Ab", "...", "c.d", "-5", "x", "..."]
+    assert first.tolist() == [0, 4, 4, 5, 6]
