@@ -111,10 +111,14 @@ def _candidates(docs: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame
     rows = docs.select("doc_id", "text").mapInArrow(_prefixes, "token long, mark long")
     shared = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token")
     counts = rows.join(shared, "token").groupBy("mark").agg(F.count("*").alias("m"))
-    classes = sizes.where("n > 0 AND doc_id IS NOT NULL").groupBy("mark").agg(F.max("n").alias("n"), F.min("doc_id").alias("doc_id"))
-    left = materialise(counts.join(classes, "mark").where(F.col("m") >= _need("n")).select("mark", "doc_id"), "candidates")
+    # One text of each class, with an id if any has one.
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("x")
+    classes = sizes.where("n > 0").groupBy("mark").agg(F.max("n").alias("n"), one)
+    left = counts.join(classes, "mark").where(F.col("m") >= _need("n"))
+    left = materialise(left.select("mark", F.col("x.doc_id").alias("id"), F.col("x.text_hash").alias("hash")), "candidates")
     # The candidates grow with the corpus; merging gives one plan for every size.
-    texts = docs.select("doc_id", "text").join(left.select("doc_id").distinct().hint("merge"), "doc_id")
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("hash"))
+    texts = docs.select("doc_id", "text").join(left.select("id", "hash").distinct().hint("merge"), same).select("text")
     sets = texts.mapInArrow(_shingles, "mark long, shingles array<long>").join(left.select("mark"), "mark")
     sets = materialise(sets.groupBy("mark").agg(F.first("shingles").alias("shingles")), "sets")
 
@@ -179,7 +183,7 @@ def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``doc_id, text_hash, n, mark`` for every row, and links ``(a, b)`` between fingerprints that connect exactly the
     texts connected by Jaccard >= 3/4. ``docs`` needs ``doc_id`` (long) and ``text``.
 
-    Runs jobs and writes intermediate tables. Fingerprints that only rows without ``doc_id`` have are not linked.
+    Runs jobs and writes intermediate tables. Rows without ``doc_id`` are linked like all others.
     """
     sizes = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     sizes = materialise(sizes.mapInArrow(_sizes, "doc_id long, text_hash long, n long, mark long"), "sizes")
@@ -231,7 +235,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ``component_id`` is the smallest ``doc_id`` that the text reaches by links, its own included.
 
     - Null, empty or wordless text: an empty set, linked with nothing; ``component_id`` is ``doc_id``.
-    - Null ``doc_id``: the row takes the component of rows with an equal set, if any has an id; else null.
+    - Null ``doc_id``: the text links like any other; ``component_id`` is null if it reaches no text with an id.
     - Repeated rows and reused ids: every row gets its row; equal sets are always in one component.
     - Other columns, of whatever name, are ignored. An empty table gives no rows.
     - Texts of any length are processed whole, each within one task.

@@ -99,3 +99,19 @@ def test_word_hashes_follow_the_words():
         assert seen.setdefault(w, h) == h
     assert len(set(seen.values())) == len(seen)
     assert isinstance(h, np.uint64)
+
+
+def test_texts_without_ids_link_and_bridge(spark):
+    """A text without id that is near two others makes them one component; near copies without any id are one, too."""
+    w = [f"b{k}" for k in range(60)]
+    far = [f"c{k}" for k in range(60)]
+    x, y = (" ".join(f"{c}{k}" for k in range(5)) for c in "xy")
+    texts = [" ".join(w), " ".join([x, *w[5:]]), " ".join([x, *w[5:-5], y])]
+    want = brute(range(3), texts)
+    assert {c for _, c in want.values()} == {0} and len({c for _, c in brute([0, 2], texts[::2]).values()}) == 2
+    texts += [" ".join(far), " ".join([*far[:-1], "z"]), "an other text of its own"]
+    docs = table(spark, texts, doc_id=[7, None, 4, None, None, None])
+    got = Counter(tuple(r) for r in ngram_join.near_duplicates(docs).collect())
+    assert got == Counter([(7, 56, 4), (None, 56, 4), (4, 56, 4), (None, 56, None), (None, 56, None), (None, 2, None)])
+    kept = ngram_join.one_of_each(docs).collect()
+    assert sorted((r.doc_id or 0 for r in kept)) == [0, 0, 4] and sum(r.text.startswith("c0") for r in kept) == 1
