@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import mix, text_slices, word_hashes
+from .words import PUNCTUATION, mix, text_slices, word_hashes
 
 _U = np.uint64
 RANK, SKETCH, TILE = 128, 16, 32
@@ -83,7 +83,7 @@ def _sketch(vocabulary: np.ndarray) -> Callable:
         signs, sieve = _signs(n), _sieve(vocabulary)
         for batch in batches:
             for _, _, data, offsets in text_slices(batch.column("text"), _BYTES):
-                words, _, _, first = word_hashes(data, offsets, edges=False)
+                words, _, _, first = word_hashes(data, offsets, edges=PUNCTUATION)
                 if not len(words):
                     continue
                 starts, _ = _starts(first, WINDOW)
@@ -176,7 +176,7 @@ def _prepared(ids: list, texts: list[str]) -> dict | None:
     out: dict = {"ids": [], "words": [], "answer": []}
     for item_id, text in zip(ids, texts, strict=True):
         _, _, data, offsets = next(text_slices(pa.array([text])))
-        words, start, _, _ = word_hashes(data, offsets, edges=False)
+        words, start, _, _ = word_hashes(data, offsets, edges=PUNCTUATION)
         if not len(words):
             continue
         body = text.encode().rstrip(b" \t\n\x0b\x0c\r.!?")
@@ -277,7 +277,7 @@ def _regions(at: np.ndarray, length: np.ndarray, span: int, begin: int, end: int
 def _matches(text: pa.Array, items: dict) -> Iterator[tuple[int, int, float, int, int, int]]:
     """Row, item, cosine, common words, common words of the answer and first word of every leak found."""
     for i, _, data, offsets in text_slices(text, _BYTES):
-        words, _, _, first = word_hashes(data, offsets, edges=False)
+        words, _, _, first = word_hashes(data, offsets, edges=PUNCTUATION)
         if not len(words):
             continue
         at, length, owner, query, cosine = _candidates(words, first, items)

@@ -6,13 +6,14 @@ and shuffled notice words as ``unknown``. Its temperature, and the probability f
 believed, are calibrated on variants that it was not trained on. A prediction counts if a notice of that
 family is found in the paragraph: most of its words, in order.
 
-Texts are scanned whole in one pass: words of the notices are located by hash, and only passages of a
-paragraph (a line) that hold two different ones are classified. All other passages have no features that tell
-a family, and are unknown.
+Texts are scanned whole in one pass: words of the notices are located by hash, without punctuation and comment marks,
+and only passages of a paragraph (up to a line without words) that hold two different ones are looked at. Every window
+of a passage that holds a notice is classified. All others have no features that tell a family, and are unknown.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterator
 
@@ -97,6 +98,12 @@ NOTICES = {
 }
 #: Words that any text may have; they are features, but do not mark a passage.
 _COMMON = set("a all and any as by for in is it law no of or part person the this to under use v with work without may be".split())
+#: Bytes of a word as in ``tokens``; all others, line ends too, are spaces. Words lose the joints at their edges.
+_PLAIN = np.full(256, 32, np.uint8)
+_JOINTS = np.zeros(256, bool)
+_JOINTS[list(b".+-")] = True
+for _byte in b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789.+-":
+    _PLAIN[_byte] = _byte
 _WORD = re.compile(r"[a-z0-9]+(?:[.+-][a-z0-9]+)*")
 
 
@@ -224,6 +231,47 @@ class Model:
         return UNKNOWN, float(p[-1]), share, notice
 
 
+    def found(self, words: list[str]) -> list[tuple[int, int, str, float, float, str]]:
+        """First word, end, family, probability, similarity and notice of the notices in a passage that are believed.
+
+        Of windows that overlap the most similar counts. A passage without any is judged as a whole.
+        """
+        windows, there = [], set(words)
+        for family, listed in self.notices.items():
+            for k, notice in enumerate(listed):
+                n = len(notice)
+                need = math.ceil(SIMILAR * n - 1e-9)
+                if sum(w in there for w in notice) < need:
+                    continue
+                heads, masks, full = set(notice[: n - need + 1]), {}, (1 << n) - 1
+                for i, w in enumerate(notice):
+                    masks[w] = masks.get(w, 0) | 1 << i
+                for a in (i for i, w in enumerate(words) if w in heads):
+                    row, common, b = full, 0, a
+                    for i in range(a, min(len(words), a + 2 * n + 6)):
+                        match = row & masks.get(words[i], 0)
+                        row = ((row + match) | (row - match)) & full
+                        if n - row.bit_count() > common:
+                            common, b = n - row.bit_count(), i + 1
+                    if common >= need:
+                        windows.append((-common / n, b - a, a, b, family, NOTICES[family][k]))
+        out: list[tuple[int, int, str, float, float, str]] = []
+        for share, _, a, b, family, notice in sorted(windows):
+            if any(a < y and x < b for x, y, *_ in out):
+                continue
+            for around in (3, 0) if share == -1 else (3,):
+                p = self.probabilities(words[max(0, a - around) : b + around])
+                k = int(np.argmax(p[:-1]))
+                if self.families[k] == family and p[k] >= self.least and p[k] > p[-1]:
+                    out.append((a, b, family, float(p[k]), -share, notice))
+                    break
+        if not out:
+            family, p, share, notice = self.judged(" ".join(words))
+            if family != UNKNOWN:
+                out.append((next(i for i, w in enumerate(words) if w in self.marks), len(words), family, p, share, notice))
+        return sorted(out)
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Trains with at most ``sample`` paragraphs of the corpus, those of lowest hash, as examples of ``unknown``."""
     lines = docs.select(F.explode(F.split(F.col("text").cast("string"), "\n")).alias("line")).where("length(line) BETWEEN 20 AND 2000")
@@ -237,38 +285,37 @@ _FOUND = "doc_id long, line long, family string, probability double, similarity
 
 def _scanned(model: Model) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shapes = [f"{a}{w}{b}" for w in sorted(model.marks) for a in ("", "(", '"', "'") for b in ("", ".", ",", ";", ":", ")", ").", '"', "'")]
-        _, _, data, offsets = next(text_slices(pa.array([" ".join(shapes)])))
+        _, _, data, offsets = next(text_slices(pa.array([" ".join(sorted(model.marks))])))
         marks = np.unique(word_hashes(data, offsets)[0])
         sieve = np.zeros(1 << 16, bool)
         sieve[(marks >> _U(48)).astype(np.int64)] = True
         for batch in batches:
             rows = []
             for i, _, data, offsets in text_slices(batch.column("text")):
-                words, start, end, first = word_hashes(data, offsets)
+                words, start, end, _ = word_hashes(_PLAIN[data], offsets, edges=_JOINTS)
                 at = np.flatnonzero(sieve[(words >> _U(48)).astype(np.int64)])
                 at = at[np.isin(words[at], marks)]
-                if not len(at):
+                if len(at) < 2:
                     continue
-                text = np.searchsorted(offsets, start[at], "right") - 1
                 breaks = np.flatnonzero(data == 10)
-                line = np.searchsorted(breaks, start[at])
-                new = np.r_[True, (text[1:] != text[:-1]) | (line[1:] != line[:-1]) | (np.diff(at) > 12)]
-                begin = np.flatnonzero(new)
+                line = np.searchsorted(breaks, start)
+                text = np.searchsorted(offsets, start, "right") - 1
+                # A paragraph ends with its text, and before a line without words.
+                part = np.cumsum(np.r_[False, (text[1:] != text[:-1]) | (np.diff(line) > 1)])
+                begin = np.flatnonzero(np.r_[True, (np.diff(part[at]) > 0) | (np.diff(at) > 12)])
                 for a, b in zip(begin, np.append(begin[1:], len(at)), strict=True):
                     if b - a < 2 or len(np.unique(words[at[a:b]])) < 2:
                         continue
-                    top = breaks[line[a] - 1] + 1 if line[a] else 0
-                    top, bottom = max(top, offsets[text[a]]), offsets[text[a] + 1]
-                    if line[a] < len(breaks):
-                        bottom = min(bottom, breaks[line[a]])
-                    lo = max(top, start[max(at[a] - 6, 0)])
-                    hi = min(bottom, end[min(at[b - 1] + 6, len(end) - 1)])
-                    passage = data[lo:hi].tobytes().decode("utf-8", "replace")
-                    family, p, share, notice = model.judged(passage)
-                    if family != UNKNOWN:
-                        number = int(line[a] - np.searchsorted(breaks, offsets[text[a]]))
-                        rows.append((batch.column("doc_id")[int(i + text[a])].as_py(), number, family, p, share, notice, passage))
+                    top, bottom = np.searchsorted(part, part[at[a]] + np.array([0, 1]))
+                    lo, hi = max(top, at[a] - 8), min(bottom, at[b - 1] + 9)
+                    near = [data[x:y].tobytes().decode("utf-8", "replace").lower() for x, y in zip(start[lo:hi], end[lo:hi], strict=True)]
+                    seen, row = set(), text[at[a]]
+                    for x, y, family, p, share, notice in model.found(near):
+                        number = int(line[lo + x] - np.searchsorted(breaks, offsets[row]))
+                        if (number, family) not in seen:
+                            seen.add((number, family))
+                            passage = data[start[max(top, lo + x - 6)] : end[min(bottom, lo + y + 6) - 1]].tobytes().decode("utf-8", "replace")
+                            rows.append((batch.column("doc_id")[int(i + row)].as_py(), number, family, p, share, notice, passage))
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.float64(), pa.string(), pa.string()]
             columns = list(zip(*rows, strict=True)) or [()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [c.split()[0] for c in _FOUND.split(", ")])
@@ -277,12 +324,12 @@ def _scanned(model: Model) -> Callable:
 
 
 def licences(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The licence notices in ``docs`` (``doc_id``, ``text``): one row for each passage, with the ``line`` (from 0) it
-    is in, the ``family``, its calibrated ``probability``, the ``notice`` that confirms it, how much of that the
+    """The licence notices in ``docs`` (``doc_id``, ``text``): one row for each notice, with the ``line`` (from 0) where
+    it begins, the ``family``, its calibrated ``probability``, the ``notice`` that confirms it, how much of that the
     passage has (``similarity``), and the ``passage``.
 
     - Null, empty or wordless texts have none. Null ``doc_id`` is carried as null; repeated rows are each scanned.
-    - A line may hold several passages; a very long one is scanned whole. An empty table gives no rows, and
+    - A notice may go over several lines, and a line hold several families, each once; a very long one is scanned whole. An empty table gives no rows, and
       other columns are ignored. Equal probabilities go to the first family in the list of notices.
     """
     base = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))

@@ -20,8 +20,8 @@ _STEPS = [_U(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B4
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_EDGE = np.zeros(256, bool)
-_EDGE[list(b".,;:!?\"'`()[]{}<>*_~")] = True
+PUNCTUATION = np.zeros(256, bool)
+PUNCTUATION[list(b".,;:!?\"'`()[]{}<>*_~")] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -66,11 +66,11 @@ def text_slices(text: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         i = j
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True, breaks: np.ndarray | None = None, edges: bool = True):
+def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True, breaks: np.ndarray | None = None, edges: np.ndarray | None = None):
     """Hash, first byte and end byte of every word, and the index of each text's first word (one more at the end).
 
-    ``breaks`` may name further bytes at which a word cannot be continued. Without ``edges``, words lose the ASCII
-    punctuation at their edges, unless they are nothing else.
+    ``breaks`` may name further bytes at which a word cannot be continued. Words lose the bytes of ``edges``
+    (a mask, as ``PUNCTUATION``) at their edges, unless they are nothing else.
     """
     if not len(data):
         none = np.zeros(0, np.int64)
@@ -85,9 +85,9 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True, break
     ends = offsets[1:][offsets[1:] > 0] - 1
     last[ends] = inside[ends]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    if not edges:
-        at = np.flatnonzero(_EDGE[data[start]] | _EDGE[data[end - 1]])
-        solid = np.append(np.flatnonzero(~_EDGE[data]), len(data))
+    if edges is not None and len(start):
+        at = np.flatnonzero(edges[data[start]] | edges[data[end - 1]])
+        solid = np.append(np.flatnonzero(~edges[data]), len(data))
         lo = solid[np.searchsorted(solid, start[at])]
         at, lo = at[lo < end[at]], lo[lo < end[at]]
         start[at], end[at] = lo, solid[np.searchsorted(solid, end[at]) - 1] + 1

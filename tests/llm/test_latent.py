@@ -5,7 +5,7 @@ import pyarrow as pa
 from helpers import SCHEMA, messy, sentence, table, words
 
 from supplyscope.llm import latent
-from supplyscope.llm.words import text_slices, word_hashes
+from supplyscope.llm.words import PUNCTUATION, text_slices, word_hashes
 
 BENCH = "item_id long, text string, extra string"
 
@@ -144,6 +144,6 @@ def test_short_and_altered_answers(spark):
 def test_edges_of_words():
     texts = ["(Ab), ... c.d! -5", "", "'x'", "..."]
     _, _, data, offsets = next(text_slices(pa.array(texts)))
-    _, start, end, first = word_hashes(data, offsets, edges=False)
+    _, start, end, first = word_hashes(data, offsets, edges=PUNCTUATION)
     assert [data[a:b].tobytes().decode() for a, b in zip(start, end, strict=True)] == ["Ab", "...", "c.d", "-5", "x", "..."]
     assert first.tolist() == [0, 4, 4, 5, 6]

@@ -52,3 +52,12 @@ def test_messy_and_empty_tables(spark):
     docs = table(spark, [("w " * 20_000) + "Released under the MIT License. " + ("v " * 20_000), None, "All rights reserved.", "All rights reserved."], doc_id=[4, None, None, None])
     got = sorted(((r.doc_id, r.line, r.family) for r in licenses.licences(docs).collect()), key=str)
     assert got == [(4, 0, "MIT"), (None, 0, "proprietary"), (None, 0, "proprietary")]
+
+
+def test_wrapped_notices_and_two_families_in_a_line(spark):
+    bsd = "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that"
+    gpl = " * under the terms of the GNU General Public License as published by\n * the Free Software Foundation, either version 2 of it"
+    both = "Released under the MIT License or licensed under the Apache License, Version 2.0"
+    texts = [bsd, "/*\n" + gpl + "\n */", both, "Redistribution and use in source and binary\n\nforms, with or without modification, are permitted"]
+    got = sorted((r.doc_id, r.line, r.family) for r in licenses.licences(table(spark, texts)).collect())
+    assert got == [(0, 0, "BSD-3-Clause"), (1, 1, "GPL-2.0"), (2, 0, "Apache-2.0"), (2, 0, "MIT")]
