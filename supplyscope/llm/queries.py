@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from supplyscope.sources import scratch_dir
 
-from . import decision_list, ecoc, fixity, latent, licenses, line_dedup, link_trust, mixing, ngram_join, ring
+from . import decision_list, ecoc, fixity, latent, licenses, line_dedup, link_trust, mixing, ngram_join, ring, spelling
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,8 +74,25 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return latent.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"), lot=199)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_language_id, op3_license_scans, op4_source_mixing, op5_ngram_jaccard_join, op6_sharding, op7_warc_fixity, op8_url_filters, op9_quality_rules, op10_benchmark_decontamination)}
+    found = (
+        op1_line_dedup,
+        op2_language_id,
+        op3_license_scans,
+        op4_source_mixing,
+        op5_ngram_jaccard_join,
+        op6_sharding,
+        op7_warc_fixity,
+        op8_url_filters,
+        op9_quality_rules,
+        op10_benchmark_decontamination,
+        op13_spelling_variants,
+    )
+    return {f.__name__: f for f in found}
 
 
 _OP5 = r"""

@@ -119,3 +119,11 @@ def shingle_set(words: np.ndarray, windows: np.ndarray) -> np.ndarray:
         return np.zeros(0, _U)
     with np.errstate(over="ignore"):
         return mix(np.array([(words * np.array(_STEPS[: len(words)])).sum() + _U(len(words))], _U))
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the byte spans ``start`` to ``end``; equal bytes have equal hashes wherever they stand."""
+    total = np.zeros(len(data) + 1, _U)
+    np.cumsum((data.astype(_U) + _U(1)) * _power(_BASE, len(data)), out=total[1:])
+    # A span that starts at the end of the data is empty; any power does for it.
+    return mix((total[end] - total[start]) * _power(_BASE_INVERSE, len(data) + 1)[start])
