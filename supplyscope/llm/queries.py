@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplyscope.sources import scratch_dir
 
-from . import decision_list, ecoc, fixity, latent, licenses, line_dedup, link_trust, mixing, ngram_join, ring, spelling
+from . import alignment, decision_list, ecoc, fixity, latent, licenses, line_dedup, link_trust, mixing, ngram_join, packing, ring, spelling
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +75,15 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return latent.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.alignment_digests(_table(spark, sf_dir, "documents"), *paths)
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"), lot=199)
 
@@ -90,6 +100,8 @@ def queries() -> dict[str, Query]:
         op8_url_filters,
         op9_quality_rules,
         op10_benchmark_decontamination,
+        op11_tokenizer_alignment,
+        op12_best_fit_packing,
         op13_spelling_variants,
     )
     return {f.__name__: f for f in found}

@@ -32,7 +32,7 @@ def test_query_equals_its_sql(spark, name):
 
 def test_every_operator_has_a_query():
     names = list(queries.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == [*range(1, 11), 13]
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 def leaking(text, items):
