@@ -38,7 +38,7 @@ _LETTERS = [chr(c) for c in (*range(97, 123), *range(192, 256))]
 SLICE = 1000
 #: Columns of a count vector.
 _COLUMNS = 96
-_SLICE_BYTES = 4 << 20
+_SLICE_BYTES = 2 << 20
 
 _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[65:91] = _ASCII_LETTER[97:123] = True
