@@ -1,104 +1,183 @@
 """Fixity audit of WARC replicas with Merkle trees.
 
-A corpus of pages is kept as WARC files, one per volume, in several places. Each record is hashed; the hashes of
+A corpus of pages is kept as compressed WARC files, one per volume, in several places. Each record is hashed; the hashes of
 a volume's records, in order of offset, are the leaves of a tree in which a node covers an ordered range of
 ``FANOUT`` nodes below it, and a last tree covers the volumes. Two replicas are compared from the root
 down: nodes that agree are not opened, so that only the branches above damaged records are read.
+
+Volumes are filled where the pages are read: a task packs its rows, in order, into volumes of about ``VOLUME_BYTES``, so pages are
+neither grouped nor shuffled. All files of a replica lie in one folder. A file's first record is a ``warcinfo`` record
+that names the volume, as the standard has it, so a copy is known whatever its file is called.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplyscope.sources import materialise
 
-from .order import copies
+from .order import numbered
 
 FANOUT = 16
-#: Records of a volume, about.
-VOLUME_RECORDS = 500
-_END = "\r\n\r\n"
+#: Bytes of a volume's records, about; a longer record is a volume of its own.
+VOLUME_BYTES = 4 << 20
+_END = b"\r\n\r\n"
+_DATE = b"WARC-Date: 1970-01-01T00:00:00Z"
+#: Volumes of one task at most.
+_TASK_VOLUMES = 1 << 32
+
+
+def _record(kind: bytes, name: bytes, more: list[bytes], media: bytes, block: bytes) -> bytes:
+    head = [b"WARC/1.1", b"WARC-Type: " + kind, b"WARC-Record-ID: <" + name + b">", _DATE, *more, b"Content-Type: " + media]
+    return b"\r\n".join([*head, b"Content-Length: %d" % len(block)]) + _END + block + _END
+
+
+def _volume(number: int, records: list[bytes]) -> str:
+    """A volume's text. The line break that ends the last record is written by the sink."""
+    name = b"%d" % number
+    info = _record(b"warcinfo", b"urn:volume:" + name, [b"WARC-Filename: " + name], b"application/warc-fields", b"format: WARC File Format 1.1\r\n")
+    return (info + b"".join(records))[:-1].decode()
+
+
+def _text(x: pa.Scalar) -> bytes:
+    return b"" if x.as_py() is None else x.as_py().encode()
+
+
+def _packed(volume_bytes: int) -> Callable:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, nth, place, held, size = TaskContext.get().partitionId() * _TASK_VOLUMES, 0, 0, [], 0
+        for batch in batches:
+            for page, url, html in zip(*(batch.column(k) for k in range(3)), strict=True):
+                target = [] if url.as_py() is None else [b"WARC-Target-URI: " + b"".join(_text(url).splitlines())]
+                name = b"urn:page:%s:%d" % (_text(page) or b"null", first + place)
+                held.append(_record(b"resource", name, target, b"text/html", _text(html)))
+                place += 1
+                size += len(held[-1])
+                if size >= volume_bytes:
+                    yield pa.RecordBatch.from_pydict({"value": [_volume(first + nth, held)]})
+                    nth, held, size = nth + 1, [], 0
+        if held:
+            yield pa.RecordBatch.from_pydict({"value": [_volume(first + nth, held)]})
 
+    return pack
 
-def warc_records(pages: DataFrame, volume_records: int = VOLUME_RECORDS) -> DataFrame:
-    """``volume``, ``id`` and ``record`` (text) for each row of ``pages`` (``page_id, url, html``).
 
-    A record is a WARC/1.1 ``resource`` record with the HTML as its block. Its id is made of the page id, a hash of
-    the row, and a number; its volume of a hash of these.
+def _store(volumes: DataFrame, path: str) -> None:
+    """Each row is a volume and a file. What is lost in deflating fast is made up for by what is not written twice."""
+    files = volumes.write.option("maxRecordsPerFile", 1).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    files.option("lineSep", "\n").text(path)
 
-    - Null ``url``: no target URI. Null or empty ``html``: a block of length 0. Null ``page_id``: ``null`` in the id.
-    - Repeated rows are counted and then numbered, each a record; very many of them fill many volumes.
-    - An empty table gives no records. Other columns are ignored.
+
+def write_warc(pages: DataFrame, path: str, volume_bytes: int = VOLUME_BYTES) -> None:
+    """Writes each row of ``pages`` (``page_id, url, html``) as a WARC/1.1 ``resource`` record with the HTML as its block.
+
+    A record's id is made of the page id, and the numbers of the task and of the row within it.
+
+    - Null ``url``: no target URI; line breaks in one are left out. Null or empty ``html``: a block of length 0. Null ``page_id``: ``null`` in the id.
+    - Repeated rows, and reused page ids, are records of their own.
+    - An empty table gives a folder without volumes. Other columns, of whatever name, are ignored.
     """
-    page, url, html = F.col("page_id").cast("string"), F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit(""))
-    rows = pages.select(F.coalesce(page, F.lit("null")).alias("page"), F.regexp_replace(url, r"[\r\n]", "").alias("url"), html.alias("html"))
-    rows = rows.groupBy("page", "url", "html").agg(F.count("*").alias("m")).withColumn("hash", F.hex(F.xxhash64("url", "html")))
-    volumes = F.lit(max(1, pages.count() // volume_records))
-    rows = copies(rows, "m", "k", ["page", "hash"])
-    name = F.concat_ws(":", F.lit("urn:page"), "page", "hash", F.col("k").cast("string"))
-    head = F.concat_ws(
-        "\r\n",
-        F.lit("WARC/1.1"),
-        F.lit("WARC-Type: resource"),
-        F.concat(F.lit("WARC-Record-ID: <"), name, F.lit(">")),
-        F.lit("WARC-Date: 1970-01-01T00:00:00Z"),
-        F.concat(F.lit("WARC-Target-URI: "), F.col("url")),
-        F.lit("Content-Type: text/html"),
-        F.concat(F.lit("Content-Length: "), F.octet_length("html").cast("string")),
-    )
-    volume = F.pmod(F.xxhash64("page", "hash", F.floor(F.col("k") / volume_records)), volumes)
-    return rows.select(volume.alias("volume"), name.alias("id"), F.concat(head, F.lit(_END), F.col("html"), F.lit(_END)).alias("record"))
-
-
-def write_warc(records: DataFrame, path: str) -> None:
-    """Writes ``records`` as WARC files, one in each folder ``volume=N`` under ``path``, in order of id."""
-    ordered = records.repartition("volume").sortWithinPartitions("volume", "id")
-    # The line break after a record is its own last character.
-    text = F.expr("substring(record, 1, length(record) - 1)").alias("record")
-    ordered.select("volume", text).write.partitionBy("volume").option("lineSep", "\n").text(path)
+    rows = pages.select(*[F.col(c).cast("string").alias(c) for c in ("page_id", "url", "html")])
+    _store(rows.mapInArrow(_packed(volume_bytes), "value string"), path)
+
+
+def _inflated(content: bytes) -> bytes:
+    """The bytes of a file; damaged compression ends it where it stands."""
+    if not content.startswith(b"\x1f\x8b"):
+        return content
+    out = []
+    while content:
+        stream = zlib.decompressobj(31)
+        try:
+            out.append(stream.decompress(content))
+        except zlib.error:
+            break
+        content = stream.unused_data
+    return b"".join(out)
+
+
+def _entries(data: bytes) -> Iterator[tuple[int, int, bytes | None, bytes]]:
+    """Offset, end, id and type of the records of a file; what is no record is one without id."""
+    at = 0
+    while at < len(data):
+        end, name, kind = 0, None, b""
+        head = data.find(_END, at)
+        if data.startswith(b"WARC/", at) and head >= 0:
+            lines = (x.partition(b":") for x in data[at:head].split(b"\r\n")[1:])
+            fields = {key.strip().lower(): value.strip() for key, _, value in lines}
+            size = fields.get(b"content-length", b"")
+            if size.isdigit() and data[head + 4 + int(size) : head + 8 + int(size)] == _END:
+                end = head + 8 + int(size)
+                name, kind = fields.get(b"warc-record-id", b"").strip(b"<>"), fields.get(b"warc-type", b"")
+        if not end:  # damaged: go on at the next record
+            more = data.find(_END + b"WARC/", at + 1)
+            end = more + 4 if more >= 0 else len(data)
+        yield at, end, name or None, kind
+        at = end
+
+
+def _number(data: bytes, name: bytes | None, kind: bytes) -> int | None:
+    tail = (name or b"").rpartition(b":")[2]
+    return int(tail) if kind == b"warcinfo" and tail.isdigit() else None
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
+    return files.select("content", "path")
+
+
+def copy_warc(spark: SparkSession, source: str, target: str, change: Callable[[bytes, bytes], bytes | None] | None = None) -> None:
+    """Writes a replica of all volumes under ``source``. ``change``, for drills, gets a record's id and bytes, and returns its bytes in the
+    replica, in UTF-8, or None to leave it out."""
+
+    def copied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column("content"):
+                data = _inflated(content.as_py())
+                parts = [(name, data[at:end]) for at, end, name, _ in _entries(data)]
+                kept = [x if change is None else change(name or b"", x) for name, x in parts]
+                whole = b"".join(x for x in kept if x is not None)
+                if whole:  # a task without rows leaves an empty file
+                    yield pa.RecordBatch.from_pydict({"value": [whole[:-1].decode()]})
+
+    _store(_files(spark, source).mapInArrow(copied, "value string"), target)
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Place, id and digest of the records of whole files; what is no record is one without id."""
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
     for batch in batches:
-        for volume, content in zip(batch.column("volume"), batch.column("content"), strict=True):
-            data, at, rows = content.as_buffer().to_pybytes(), 0, []
-            while at < len(data):
-                end, name = 0, None
-                head = data.find(b"\r\n\r\n", at)
-                if data.startswith(b"WARC/", at) and head >= 0:
-                    lines = (x.partition(b":") for x in data[at:head].split(b"\r\n")[1:])
-                    fields = {key.strip().lower(): value.strip() for key, _, value in lines}
-                    size = fields.get(b"content-length", b"")
-                    if size.isdigit() and data[head + 4 + int(size) : head + 8 + int(size)] == b"\r\n\r\n":
-                        end = head + 8 + int(size)
-                        name = fields.get(b"warc-record-id", b"").decode("utf-8", "replace").strip("<>")
-                if not end:  # damaged: go on at the next record
-                    more = data.find(b"\r\n\r\nWARC/", at + 1)
-                    end = more + 4 if more >= 0 else len(data)
-                rows.append((volume.as_py(), at, end - at, name or None, hashlib.sha256(data[at:end]).hexdigest()))
-                at = end
-            columns = list(zip(*rows, strict=True)) or [()] * 5
+        for content, path in zip(batch.column("content"), batch.column("path"), strict=True):
+            data, rows, volume, before = _inflated(content.as_py()), [], None, None
+            # A file that has lost its first record is a volume that no other replica has.
+            lost = -1 - (zlib.crc32(path.as_py().rpartition("/")[2].encode()) << 16)
+            for at, end, name, kind in _entries(data):
+                volume = _number(data, name, kind) if volume is None else volume
+                text = None if name is None else name.decode("utf-8", "replace")
+                rows.append((lost if volume is None else volume, len(rows), at, end - at, text, hashlib.sha256(data[at:end]).hexdigest(), before))
+                before = text
+            columns = list(zip(*rows, strict=True)) or [()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], _NAMES)
 
 
-_NAMES = ["volume", "offset", "length", "id", "digest"]
+_NAMES = ["volume", "node", "offset", "length", "id", "digest", "before"]
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """``volume, offset, length, id, digest``: the records of the files under ``path`` with their SHA-256.
+    """``volume, node, offset, length, id, digest, before``: the records of the files under ``path`` with their place in the volume, SHA-256
+    and the id of the record before.
 
-    A stretch of bytes that is no well-formed record is one entry without id, up to where the next record starts.
+    Offsets are those in the inflated file. A stretch of bytes that is no well-formed record is one entry without id, up to where the
+    next record starts.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
-    files = files.select("content", F.regexp_extract("path", r"volume=(\d+)", 1).cast("long").alias("volume"))
-    return files.mapInArrow(_parsed, "volume long, offset long, length long, id string, digest string")
+    types = "volume long, node long, offset long, length long, id string, digest string, before string"
+    return _files(spark, path).mapInArrow(_parsed, types)
 
 
 _UP = FANOUT.bit_length() - 1
@@ -129,14 +208,15 @@ def audit(spark: SparkSession, first: str, second: str) -> DataFrame:
 
     - Equal replicas, also empty ones, give no rows. A volume that one replica lacks is missing record by record.
     """
-    order = Window.partitionBy("volume").orderBy("offset")  # a volume is one file, which one task writes and reads
-    sides = []
-    for path in (first, second):
-        leaves = read_warc(spark, path).withColumn("node", F.row_number().over(order).cast("long") - 1)
-        sides.append(materialise(leaves.withColumn("before", F.lag("id").over(order)), "leaves"))
+    sides = [read_warc(spark, path) for path in (first, second)]
+    sides = [materialise(s, "leaves") for s in sides]
+    names = sides[0].select("volume").union(sides[1].select("volume")).distinct()
+    places = materialise(numbered(names, [F.col("volume")], "place"), "volume-places")
     last = max(s.agg(F.max("node")).first()[0] or 0 for s in sides)
     inside = [_levels(s, last, "ranges") for s in sides]
-    tops = [x[-1].select(F.lit(None).cast("long").alias("volume"), F.col("volume").alias("node"), "digest") for x in inside]
+    # The tree over the volumes numbers them from 0, as both replicas together have them.
+    roots = [x[-1].join(places, "volume") for x in inside]
+    tops = [x.select(F.lit(None).cast("long").alias("volume"), F.col("place").alias("node"), "digest") for x in roots]
     last = max(t.agg(F.max("node")).first()[0] or 0 for t in tops)
     over = [_levels(materialise(t, "volumes"), last, "volume-ranges") for t in tops]
     # From the root down to the volumes, then from their roots down to the records.
@@ -145,7 +225,7 @@ def audit(spark: SparkSession, first: str, second: str) -> DataFrame:
         found = _differing(pair, found)
         if not found.limit(1).count():
             return _findings(*(s.where("false") for s in sides))
-    volumes = found.select(F.col("node").alias("volume"))
+    volumes = found.select(F.col("node").alias("place")).join(places, "place")
     found = volumes.select("volume", F.lit(0).cast("long").alias("node"))
     for pair in list(zip(*(reversed(x) for x in inside), strict=True))[1:]:
         found = _differing(pair, found)

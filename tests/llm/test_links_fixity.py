@@ -1,3 +1,6 @@
+import gzip
+import hashlib
+import zlib
 from collections import defaultdict
 from pathlib import Path
 
@@ -77,12 +80,11 @@ def test_messy_and_empty_pages(spark):
     assert link_trust.judged(pages(spark, rows[:0])).collect() == []
 
 
-def replicas(spark, rows, damage, volume_records=5):
-    records = fixity.warc_records(pages(spark, rows), volume_records)
+def replicas(spark, rows, change=None, volume_bytes=600):
     paths = [scratch_dir(spark, f"test-{k}") for k in (1, 2)]
-    for path, df in zip(paths, (records, damage(records)), strict=True):
-        fixity.write_warc(df, path)
-    return records, paths
+    fixity.write_warc(pages(spark, rows).repartition(3), paths[0], volume_bytes)
+    fixity.copy_warc(spark, *paths, change)
+    return paths
 
 
 FAKE = "\r\n\r\nWARC/1.1\r\n"
@@ -92,40 +94,101 @@ def some(n):
     return [(k, f"http://a.net/{k}", f"<p>ß {k}{'' if k % 2 else FAKE}{'x' * k}") for k in range(n)]
 
 
-def test_all_damage_is_located(spark):
-    changed, extra = {"5", "40", "99"}, "2"
+def records_of(path):
+    """What the files hold, by volume and id, read plainly: blocks are as long as their heads say."""
+    found = {}
+    for file in Path(path.removeprefix("file:")).glob("part-*"):
+        data, at, volume = gzip.decompress(file.read_bytes()), 0, None
+        while at < len(data):
+            head = data.index(b"\r\n\r\n", at)
+            fields = dict(x.split(b": ", 1) for x in data[at:head].split(b"\r\n")[1:])
+            end = head + 8 + int(fields[b"Content-Length"])
+            volume = volume or fields[b"WARC-Filename"]
+            assert (volume, fields[b"WARC-Record-ID"]) not in found
+            found[volume, fields[b"WARC-Record-ID"]] = data[at:end]
+            at = end
+    return found
+
+
+def page_of(name):
+    return name.split(":")[2]
+
+
+def test_records_are_the_pages(spark):
+    paths = replicas(spark, some(50))
+    one, two = map(records_of, paths)
+    assert one == two and len({v for v, _ in one}) > 3
+    blocks = {x.split(b"\r\n\r\n", 1)[1][:-4] for (_, name), x in one.items() if name.startswith(b"<urn:page")}
+    assert blocks == {html.encode() for _, _, html in some(50)}
+    read = fixity.read_warc(spark, paths[0]).collect()
+    assert {(str(r.volume).encode(), f"<{r.id}>".encode(), r.digest) for r in read} == {(v, n, hashlib.sha256(x).hexdigest()) for (v, n), x in one.items()}
+
+
+def test_findings_equal_a_plain_diff(spark):
+    """Records changed in their blocks and lost, by hashes of their ids."""
+
+    def change(name, record):
+        lot = zlib.crc32(name) % 5
+        if not name.startswith(b"urn:page:") or lot > 1:
+            return record
+        return record[:-5] + b"~" + record[-4:] if lot else None
 
-    def damage(records):
-        page = "split(id, ':')[2]"
-        out = records.where(f"{page} NOT IN ('3', '71', '72')")
-        out = out.selectExpr("volume", "id", f"CASE WHEN {page} IN ('5', '40') THEN concat(left(record, length(record) - 5), '#', right(record, 4)) WHEN {page} = '99' THEN substring(record, 9) ELSE record END AS record")
-        return out.unionByName(records.where(f"{page} = '{extra}'").selectExpr("volume", "concat(id, 'x') AS id", "replace(record, id, concat(id, 'x')) AS record"))
+    paths = replicas(spark, some(150), change)
+    one, two = map(records_of, paths)
+    want = {(int(v), n.decode().strip("<>"), "changed" if (v, n) in two else "missing") for (v, n), x in one.items() if two.get((v, n)) != x}
+    got = [(r.volume, r.id, r.damage) for r in fixity.audit(spark, *paths).collect()]
+    assert len(want) > 30 and set(got) == want and len(got) == len(want)
+    back = [(r.volume, r.other_id, r.damage) for r in fixity.audit(spark, *paths[::-1]).collect()]
+    assert set(back) == {(v, n, {"missing": "extra"}.get(d, d)) for v, n, d in want}
 
-    records, paths = replicas(spark, some(120), damage)
+
+def test_all_damage_is_located(spark):
+    def change(name, record):
+        page = name.decode().split(":")[2] if name.startswith(b"urn:page:") else ""
+        if page in ("3", "71", "72"):
+            return None
+        if page in ("5", "40"):
+            return record[:-5] + b"#" + record[-4:]
+        return record[8:] if page == "99" else record + record.replace(name, name + b"x") if page == "2" else record
+
+    paths = replicas(spark, some(120), change)
     found = fixity.audit(spark, *paths).collect()
     by = defaultdict(set)
     for r in found:
-        by[r.damage].add((r.id or r.other_id).split(":")[2])
-    assert by == {"missing": {"3", "71", "72"}, "changed": changed, "extra": {extra}} and len(found) == 7
-    read = fixity.read_warc(spark, paths[0]).collect()
-    assert len(read) == 120 and all(r.id for r in read)
-    text = {r.id: r.record for r in records.collect()}
-    by_volume = {int(p.parent.name.split("=")[1]): p.read_bytes() for p in Path(paths[0]).glob("volume=*/part-*")}
-    for r in read:
-        assert by_volume[r.volume][r.offset : r.offset + r.length].decode() == text[r.id]
+        by[r.damage].add(page_of(r.id or r.other_id))
+    assert by == {"missing": {"3", "71", "72"}, "changed": {"5", "40", "99"}, "extra": {"2"}} and len(found) == 7
 
 
 def test_equal_and_empty_replicas(spark):
-    for rows in (some(40), some(1)):
-        _, paths = replicas(spark, rows, lambda x: x.repartition(3))
-        assert fixity.audit(spark, *paths).collect() == []
-    _, paths = replicas(spark, some(40), lambda x: x.where("volume != 0"))
+    for rows in (some(40), some(1), []):
+        assert fixity.audit(spark, *replicas(spark, rows)).collect() == []
+    paths = replicas(spark, some(40))
+    gone = sorted(Path(paths[1].removeprefix("file:")).glob("part-*"))[0]
+    lost = records_of(str(gone.parent)).keys()
+    gone.unlink()
+    lost -= records_of(str(gone.parent)).keys()
+    found = fixity.audit(spark, *paths).collect()
+    assert {(str(r.volume).encode(), f"<{r.id}>".encode(), r.damage) for r in found} == {(*k, "missing") for k in lost}
+
+
+def test_files_damaged_as_a_whole(spark):
+    """A file cut short within its compression loses its last records; one without its first record is no known volume."""
+    paths = replicas(spark, some(60), volume_bytes=3000)
+    cut, headless = sorted(Path(paths[1].removeprefix("file:")).glob("part-*"))[:2]
+    one = records_of(paths[0])
+    cut.write_bytes(cut.read_bytes()[:-60])
+    data = gzip.decompress(headless.read_bytes())
+    headless.write_bytes(gzip.compress(data[data.index(b"WARC/1.1", 8) :]))
+    for crc in Path(cut.parent).glob(".*.crc"):
+        crc.unlink()
     found = fixity.audit(spark, *paths).collect()
-    assert found and {(r.volume, r.damage) for r in found} == {(0, "missing")}
+    assert {r.damage for r in found} >= {"missing", "extra"}
+    assert {r.id for r in found if r.damage != "extra"} <= {n.decode().strip("<>") for _, n in one}
 
 
 def test_messy_records(spark):
     rows = [(None, None, None), (None, None, None), (1, "http://a\r\nb/", ""), (1, "http://a/", "x" * 300_000), (1, "http://a/", "x" * 300_000)]
-    _, paths = replicas(spark, rows, lambda x: x)
+    paths = replicas(spark, rows)
     read = fixity.read_warc(spark, paths[0]).collect()
-    assert len({r.id for r in read}) == 5 and fixity.audit(spark, *paths).collect() == []
+    assert len({r.id for r in read if r.id.startswith("urn:page")}) == 5 and fixity.audit(spark, *paths).collect() == []
+    assert any(b"WARC-Target-URI: http://ab/" in x for x in records_of(paths[0]).values())
