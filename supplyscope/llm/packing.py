@@ -14,15 +14,18 @@ lengths); a piece demands ``(length, 1, length ** 2)`` of them.
    that length in the tasks before, so places are found by joins on (task, length). A length that very many
    documents have is spread over all tasks, and token ids are not shuffled unless asked for.
 
-The ids of a chunk between white space are made by the tokenizer once for each worker and remembered: the tokenizer's
-words never span white space.
+The tokenizer splits texts into words, which never span white space, and makes the ids of each word by itself. So a worker
+has it make those of a different word once and remembers them.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,60 +37,128 @@ from supplyscope.sources import materialise
 
 from .words import text_slices
 
-#: Chunks whose ids a worker remembers at most; beyond that it starts anew.
-REMEMBERED = 400_000
+#: Words whose ids a worker remembers at most; beyond that it starts anew.
+REMEMBERED = 1_000_000
 PIECES = "doc_id long, piece int, start long, length long, ids binary, part int, nth long"
 
-_known: dict[str, tuple] = {}
+#: White space of ASCII, and characters that no normalising but lower case changes: printable ASCII and letters up to U+00FF.
+_WHITE, _LETTERS = r" \t\n\r\x0b\x0c", "A-Za-zÀ-ÖØ-öø-ÿ"
+_PLAIN = f"!-~{_LETTERS}"
+_PLAIN_TEXT, _PLAIN_CHUNK = re.compile(f"[{_WHITE}{_PLAIN}]*"), re.compile(f"[{_PLAIN}]+")
+_CHUNK = re.compile(f"[^{_WHITE}]+")
+#: Words given to the tokenizer as one text.
+_TOGETHER = 1000
 
 
-def _loaded(path: str) -> tuple:
-    """The tokenizer and what this worker remembers of it."""
-    if path not in _known:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task on each core
-        from tokenizers import Tokenizer
+class _Numbers(dict):
+    """Numbers keys in the order in which they are first asked for, and lists the new ones."""
 
-        _known[path] = (Tokenizer.from_file(path), {})
-    return _known[path]
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
 
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        self.new.append(key)
+        return n
 
-def _encoded(path: str, texts: list[bytes]) -> list[bytes]:
-    """The ids of each text as little-endian unsigned 32-bit numbers."""
-    tokenizer, memory = _loaded(path)
-    chunks = [text.split() for text in texts]  # bytes: white space is ASCII's only
-    new = list(set().union(*chunks) - memory.keys())
-    if len(memory) + len(new) > REMEMBERED:
-        memory.clear()
-        new = list(set().union(*chunks))
-    for at in range(0, len(new), 10_000):
-        part = new[at : at + 10_000]
-        found = tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)
-        memory.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(part, found, strict=True))
-    return [b"".join(map(memory.__getitem__, c)) for c in chunks]
 
+class Remembered:
+    """A tokenizer that splits texts into words by a pattern, and the ids of the words that this worker has met.
 
-def _tokenize(path: str, limit: int, end: int):
-    tail = np.array([end], "<u4").tobytes()
+    In plain texts the pattern is applied here, in lower case as the tokenizer would; in others, a chunk between white space
+    that has other characters is tokenized as it is.
+    """
 
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task on each core
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        names = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(names.values()) + 1, bool)
+        self.ends[[k for name, k in names.items() if name.endswith("</w>")]] = True
+        self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        steps = json.loads(self.tokenizer.to_str())["pre_tokenizer"]
+        pattern = steps.get("pretokenizers", [steps])[0]["pattern"]["Regex"]
+        # The classes of the tokenizer's pattern, within plain text in lower case.
+        self.pattern = re.compile(pattern.replace(r"\p{L}", "a-zß-öø-ÿ").replace(r"\p{N}", "0-9"))
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers, self.flat, self.start = _Numbers(), np.zeros(0, "<u4"), np.zeros(1, np.int64)
+
+    def _units(self, text: str) -> list[str]:
+        """Parts of a text whose ids end to end are the text's."""
+        if any(x in text for x in self.special):
+            return [text]
+        if _PLAIN_TEXT.fullmatch(text):
+            return self.pattern.findall(text.lower())
+        chunks = _CHUNK.findall(text)
+        return [u for c in chunks for u in (self.pattern.findall(c.lower()) if _PLAIN_CHUNK.fullmatch(c) else (c,))]
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, units: list[str]) -> None:
+        """Ids of new units. Plain words go to the tokenizer many at a time: a word's last token, and no other, ends a word."""
+        ids, sizes = [self.flat], []
+        for k in range(0, len(units), _TOGETHER):
+            own = units[k : k + _TOGETHER]
+            words = [u for u in own if _PLAIN_CHUNK.fullmatch(u) and u not in self.special]
+            (whole,) = self._encode([" ".join(words)])
+            stops = np.flatnonzero(self.ends[whole]) + 1
+            if len(words) == len(own) == len(stops):
+                ids.append(whole)
+                sizes.append(np.diff(stops, prepend=0))
+            else:
+                found = self._encode(own)
+                ids += found
+                sizes.append(np.array([len(x) for x in found], np.int64))
+        self.flat = np.concatenate(ids)
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(np.concatenate(sizes))])
+
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, and where each text's begin (one more at the end)."""
+        if len(self.numbers) > REMEMBERED:
+            self.forget()
+        units = [self._units(x) for x in texts]
+        n = np.fromiter(map(len, units), np.int64, len(units))
+        number = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(units)), np.int64, int(n.sum()))
+        if self.numbers.new:
+            self._learn(self.numbers.new)
+            self.numbers.new = []
+        sizes = self.start[number + 1] - self.start[number]
+        bound = np.concatenate(([0], np.cumsum(sizes)))
+        at = np.repeat(self.start[number] - bound[:-1], sizes) + np.arange(bound[-1])
+        return self.flat[at], bound[np.concatenate(([0], np.cumsum(n)))]
+
+
+_known: dict[str, Remembered] = {}
+
+
+def _tokenize(path: str, limit: int, end: int):
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, counts = TaskContext.get().partitionId(), np.zeros(limit + 1, np.int64)
+        if path not in _known:
+            _known[path] = Remembered(path)
+        part, counts, tail = TaskContext.get().partitionId(), np.zeros(limit + 1, np.int64), np.array([end], "<u4").tobytes()
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             for i, j, data, offsets in text_slices(batch.column("text")):
                 raw = data.tobytes()
-                texts = [raw[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+                found, bound = _known[path].ids([raw[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)])
                 rows = []
-                for doc_id, found in zip(ids[i:j], _encoded(path, texts), strict=True):
-                    found += tail
-                    for piece, at in enumerate(range(0, len(found), 4 * limit)):
-                        own = found[at : at + 4 * limit]
+                for doc_id, lo, hi in zip(ids[i:j], bound[:-1].tolist(), bound[1:].tolist(), strict=True):
+                    whole = found[lo:hi].tobytes() + tail
+                    for piece, at in enumerate(range(0, len(whole), 4 * limit)):
+                        own = whole[at : at + 4 * limit]
                         n = len(own) // 4
                         rows.append((doc_id, piece, at // 4, n, own, part, int(counts[n])))
                         counts[n] += 1
-                columns = zip(*rows, strict=True)
                 types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
                 names = ["doc_id", "piece", "start", "length", "ids", "part", "nth"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+                columns = zip(zip(*rows, strict=True), types, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], names)
 
     return tokenize
 

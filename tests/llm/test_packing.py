@@ -97,13 +97,24 @@ def test_the_plan_does_not_grow_with_the_counts():
 
 def test_ids_are_the_tokenizers(spark):
     rng = random.Random(5)
-    odd = ["Word", "it's", "<|endoftext|>", "a<|startoftext|>b", "é", "́x", "İΣΣ", " ", "　y", "\x1c", "\x85", "日本", "ß.", "12a", "--", "\x0b", "\r\n", "\t", " ", "  ", "🙂"]
+    odd = ["Word", "it's", "WE'LL", "'S", "-'s", "''t", "i''M", "Æß÷", "ſ", "K", "<|endoftext|>", "a<|startoftext|>b", "é", "́x", "İΣΣ", " ", "　y", "\x1c", "\x85", "日本", "ß.", "12a", "--", "\x0b", "\r\n", "\t", " ", "  ", "🙂"]
     texts = ["".join(rng.choices(odd, k=rng.randrange(1, 20))) for _ in range(200)] + ["Two words, and more.\nNext"]
     texts += [" ".join(rng.choices(odd, k=30)) for _ in range(50)]
     found = packing.pieces(table(spark, texts), PATH).collect()
     assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in found} == {k: encoded(t) for k, t in enumerate(texts)}
 
 
+def test_forgetting_changes_nothing(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 20)
+    monkeypatch.setattr(packing, "_TOGETHER", 3)
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices(["One", "two,", "it's", "ÉTÉ", "x9y", "(a)b", "日", "<|endoftext|>"], k=rng.randrange(0, 15))) for _ in range(60)]
+    known = packing.Remembered(PATH)
+    for at in range(0, 60, 7):
+        ids, bound = known.ids(texts[at : at + 7])
+        assert [ids[i:j].tolist() for i, j in zip(bound[:-1], bound[1:], strict=True)] == [encoded(t)[:-1] for t in texts[at : at + 7]]
+
+
 def check_packed(rows, docs, limit):
     own = defaultdict(list)
     for doc_id, text in docs:
