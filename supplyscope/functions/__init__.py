@@ -3,7 +3,6 @@
 from .coerce import parse_ts, to_day, to_long, to_number_or_zero
 from .dates import age_days, as_of_column, date_text, days_ago, months_ago, week_monday
 from .flags import (
-    blank_to_null,
     bool_text,
     cap,
     flag,

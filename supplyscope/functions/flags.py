@@ -13,10 +13,6 @@ def is_blank(c: Column) -> Column:
     return c.isNull() | c.cast("string").rlike(r"(?U)^\s*$")
 
 
-def blank_to_null(c: Column) -> Column:
-    return F.when(~is_blank(c), c)
-
-
 def true_only(p: Column) -> Column:
     """A condition in which unknown counts as false."""
     return F.coalesce(p, F.lit(False))

@@ -7,21 +7,17 @@ from .filters import (
     isin,
     missing,
     order_columns,
-    split_active,
     timestamp_of,
     with_prefix,
 )
 from .groups import (
     band_counts,
     covers_days,
-    distinct_of,
-    distinct_with_null,
     first_non_null,
     group_any,
     group_count,
     group_distinct,
     group_min_max,
-    group_sum,
     grouped,
     known_keys,
     missing_stats,
@@ -43,10 +39,12 @@ from .joins import (
     map_column,
     missing_in,
     outer_compare,
+    repeated,
     spread_join,
     unique_on,
 )
-from .ordered import dedupe, latest, number_within, page, sort_desc, sort_report, top_groups
+from .ordered import dedupe, dedupe_by_id, latest, number_within, sort_desc, sort_report, top_groups
+from .paging import page, page_count, page_numbers, read_page, rows_between, store_ordered
 from .reshape import (
     array_len,
     criteria_flags,

@@ -37,11 +37,6 @@ def ended(df: DataFrame, col: str = "end_date") -> DataFrame:
     return df.filter(~missing(df, col))
 
 
-def split_active(df: DataFrame, col: str = "end_date") -> tuple[DataFrame, DataFrame]:
-    """The (active, ended) halves of a table."""
-    return active(df, col), ended(df, col)
-
-
 def isin(df: DataFrame, col: str, values: Iterable) -> DataFrame:
     return df.filter(F.col(col).isin(list(values)))
 

@@ -29,18 +29,21 @@ def group_count(
     return grouped(df, keys, counted.alias(name), dropna=dropna)
 
 
-def distinct_with_null(col: str) -> Column:
-    """Exact distinct count in which null is a value (a struct holding null is not itself null)."""
-    return F.count_distinct(F.struct(F.col(col)))
-
-
-def group_distinct(df: DataFrame, keys: Sequence[str], cols: Mapping[str, str], dropna: bool = False) -> DataFrame:
-    """Distinct counts; ``cols`` maps a column to the name of its count."""
-    return grouped(df, keys, *[distinct_with_null(c).alias(n) for c, n in cols.items()], dropna=dropna)
-
+def group_distinct(
+    df: DataFrame, keys: Sequence[str], cols: Mapping[str, str], dropna: bool = False
+) -> DataFrame:
+    """Exact distinct counts in which null is a value; ``cols`` maps a column to the name of its count.
 
-def group_sum(df: DataFrame, keys: Sequence[str], cols: Sequence[str], dropna: bool = False) -> DataFrame:
-    return grouped(df, keys, *[F.sum(c).alias(c) for c in cols], dropna=dropna)
+    Two levels: rows are first reduced to the distinct values of a group, which the shuffle deals out by key and value,
+    so a group with most of the rows is spread over all tasks; then what is left, a row for
+    each value, is counted with partial aggregation. Columns are counted as rows of (column, value) and not by one
+    expansion for each. Values are compared by their text, which tells all values of simple types apart.
+    """
+    rows = known_keys(df, keys) if dropna else df
+    values = [F.struct(F.lit(k).alias("__of"), F.col(c).cast("string").alias("__value")) for k, c in enumerate(cols)]
+    tall = rows.select(*keys, F.explode(F.array(*values)).alias("__x")).select(*keys, "__x.*")
+    counts = [F.count_if(F.col("__of") == k).alias(name) for k, name in enumerate(cols.values())]
+    return tall.distinct().groupBy(*keys).agg(*counts)
 
 
 def group_min_max(df: DataFrame, keys: Sequence[str], col: str, dropna: bool = True) -> DataFrame:
@@ -65,10 +68,6 @@ def representative(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.groupBy(*keys).agg(chosen).select(*keys, "__row.*").select(*df.columns)
 
 
-def distinct_of(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*cols).distinct()
-
-
 def covers_days(day: Column, as_of: Column, n: int) -> Column:
     """Aggregate: whether every one of the ``n`` days before ``as_of`` occurs.
 

@@ -9,7 +9,7 @@ measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and shuffle both
 Hot keys: AQE splits an oversized partition of an inner, left, semi or anti join on its left side, as
 long as both sides come straight from a shuffle. It cannot do so where the right side was aggregated
 by the join key (there is no shuffle in between); those joins use :func:`spread_join`. Full outer
-joins cannot be split at all; they only ever see sides aggregated to one row per key.
+joins cannot be split at all and are not used: :func:`outer_compare` aggregates the union of both sides.
 """
 
 from __future__ import annotations
@@ -17,14 +17,18 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialise
+from .filters import with_prefix
+
 # A key with more rows than this on the left of a `spread_join` is cut into pieces of about this
 # size. It also bounds the list of such keys: there are fewer than rows / HOT_ROWS of them.
 HOT_ROWS = 4_000_000
 
-# Rows whose keys are null are spread over this many pieces: unknown keys pile up like no other.
+# In a join that null keys never match, left rows with one are spread over this many pieces. It costs
+# nothing: no right row has to be repeated for them.
 NULL_PIECES = 1024
 
 
@@ -68,13 +72,16 @@ def spread_join(
     """Inner, left, semi or anti join whose left side may hold a huge share of its rows in one key.
 
     Keys are counted (with partial aggregation, reading only the key columns) in ``counted``, or in
-    the left side itself; give an earlier table with the same keys where the left side is the result
-    of much other work, or counting would repeat that work. The counts only steer the split and need
+    the left side itself: give a written table on the left, or in ``counted`` an earlier table with the
+    same keys, or counting repeats the work behind the left side. The counts only steer the split and need
     not be those of the left side for the result to be right. The rows of a hot key
     get a piece number from a hash of the row, and the right rows of that key are repeated once per
     piece, so no task has to take the whole key. Rows of all other keys stay in piece 0 and their
     right rows are not repeated. Nothing is sampled or dropped, and the piece number depends only on
     the row, so a recomputed task after a lost executor puts each row where it was before.
+
+    In a null-safe join the null key is a key like all others: it is taken apart if it was counted that
+    often, and else no row is repeated for it.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a {how} join cannot repeat its right side")
@@ -86,42 +93,51 @@ def spread_join(
         .filter(F.col("__rows") > hot_rows)
         .select(*keys, F.ceil(F.col("__rows") / hot_rows).cast("int").alias("__pieces"))
     )
-    left_hot = join_on(left, hot, keys, "left", null_safe)
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-    piece = F.when(F.col("__pieces").isNotNull(), F.pmod(row_hash, F.col("__pieces"))).otherwise(F.lit(0))
-    # Null keys may arise in the left side and be none in ``counted``, so they are always spread. In a plain join
-    # a null key matches nothing; in a null-safe one the all-null key's right rows are repeated for it.
-    unknown = reduce((lambda a, b: a & b) if null_safe else (lambda a, b: a | b), [F.col(f"`{k}`").isNull() for k in keys])
-    piece = F.when(unknown, F.pmod(row_hash, F.lit(NULL_PIECES))).otherwise(piece)
-    left_cut = left_hot.withColumn("__piece", piece.cast("int")).drop("__pieces")
-
-    right_hot = join_on(right, hot, keys, "left", null_safe)
-    last_piece = F.coalesce(F.col("__pieces"), F.lit(1)) - 1
-    if null_safe:
-        last_piece = F.when(unknown, F.lit(NULL_PIECES - 1)).otherwise(last_piece)
-    right_cut = right_hot.withColumn("__piece", F.explode(F.sequence(F.lit(0), last_piece))).drop("__pieces")
+    piece = F.when(F.col("__pieces").isNotNull(), F.pmod(row_hash, F.col("__pieces")))
+    if not null_safe:
+        unknown = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
+        piece = piece.when(unknown, F.pmod(row_hash, F.lit(NULL_PIECES)))
+    left_hot = join_on(left, hot, keys, "left", null_safe)
+    left_cut = left_hot.withColumn("__piece", piece.otherwise(F.lit(0)).cast("int")).drop("__pieces")
+    return join_on(left_cut, repeated(right, hot, keys, null_safe), keys + ["__piece"], how, null_safe).drop("__piece")
 
-    return join_on(left_cut, right_cut, keys + ["__piece"], how, null_safe).drop("__piece")
+
+def repeated(right: DataFrame, hot: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """The right side of a :func:`spread_join`: rows of a key in ``hot`` once for each of its ``__pieces``, others once."""
+    marked = join_on(right, hot, list(keys), "left", null_safe)
+    last_piece = F.coalesce(F.col("__pieces"), F.lit(1)) - 1
+    return marked.withColumn("__piece", F.explode(F.sequence(F.lit(0), last_piece))).drop("__pieces")
 
 
 def unique_on(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
-    """The same rows; the job stops, naming a key, if a key occurs twice.
+    """The same rows; the job stops, naming a key, if a key occurs twice. Null is a key.
 
-    The test is a scalar subquery inside the plan. It reads and shuffles only the key columns, combined
-    before the shuffle, and leaves the rows themselves where they are.
+    Every row is numbered within its key as it streams by, and a second one stops the job: the rows are
+    read once and nothing is held. They end up partitioned by ``__key``, a struct of the keys that is
+    never null itself, by which a join can go on without another shuffle.
     """
     shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > 1)
-    example = repeated.agg(F.min(shown).alias("__key")).scalar()
-    stop = F.raise_error(F.concat(F.lit(f"{what}: more than one row for key "), example)).cast("boolean")
-    return df.filter(F.when(example.isNotNull(), stop).otherwise(F.lit(True)))
+    stop = F.raise_error(F.concat(F.lit(f"{what}: more than one row for key "), shown)).cast("boolean")
+    place = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
+    numbered = df.withColumn("__key", F.struct(*keys)).withColumn("__nr", place)
+    return numbered.filter(F.when(F.col("__nr") > 1, stop).otherwise(F.lit(True))).drop("__nr")
 
 
 def left_join_m1(
     left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = True, what: str = "lookup"
 ) -> DataFrame:
-    """Left join that must find at most one right row per key, else the job fails."""
-    return left_on(left, unique_on(right, keys, what), keys, null_safe)
+    """Left join that must find at most one right row per key, else the job fails.
+
+    All keys of the right side are tested, in the pass that shuffles and sorts it for the join. As the right side
+    does not come straight from a shuffle, a hot key on the left is not split unless the right side is broadcast.
+    """
+    keys = list(keys)
+    tested = unique_on(right, keys, what).drop(*keys)
+    key = F.struct(*keys)
+    if not null_safe:
+        key = F.when(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]), key)
+    return left.withColumn("__key", key).join(tested, "__key", "left").drop("__key")
 
 
 def join_coerced(
@@ -136,18 +152,19 @@ def join_coerced(
     return a.join(b, "__key", how).drop("__key")
 
 
-def outer_compare(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
-    """Full outer join. Both sides should be aggregated to the keys first.
+def outer_compare(left: DataFrame, right: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
+    """Both sides matched by keys (null is a key): a union of their rows and one aggregate per key.
 
-    With keys that cannot be null, ``null_safe=False`` lets the join use the aggregates' partitioning.
+    This takes the place of a full outer join, which cannot be split. Rows combine before the one shuffle, so a key with
+    very many rows on either side is a few rows by then. Either side may have several rows for a key, best reduced as far as
+    that takes no shuffle of its own. A column that a side lacks is null in its rows; ``aggs`` say what becomes of
+    the values. Without any, each side must have one row per key, and its values stand.
     """
-    if not null_safe:
-        return left.join(right, list(keys), "full")
-    renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
-    match = _all(F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys)
-    joined = left.join(renamed, match, "full")
-    merged = {k: F.coalesce(F.col(k), F.col(f"__right_{k}")) for k in keys}
-    return joined.withColumns(merged).drop(*[f"__right_{k}" for k in keys])
+    values = [c for c in [*left.columns, *right.columns] if c not in keys]
+    if len(set(values)) < len(values):
+        raise ValueError(f"columns on both sides: {sorted({c for c in values if values.count(c) > 1})}")
+    both = left.unionByName(right, allowMissingColumns=True)
+    return both.groupBy(*keys).agg(*(aggs or [F.max(f"`{c}`").alias(c) for c in values]))
 
 
 def missing_in(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
@@ -183,12 +200,13 @@ def exists_flag(
 def left_many(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
     """Left join from one row per key to right rows that may pile up on a key.
 
-    A left join can only be split on its left. So matches and gaps are separate joins: an inner one,
-    which can be split on the side of the right rows, and an anti one against their distinct keys.
+    A left join can only be split on its left. So the matches are an inner join, which can be split on the
+    side of the right rows. They are written once, and the gaps are the left rows whose key is not among the
+    written keys: the right side is read once.
     """
     values = [c for c in right.columns if c not in keys]
-    found = join_on(right, left, keys, "inner", null_safe).select(*left.columns, *values)
-    gaps = missing_in(left, right.select(*keys).distinct(), keys, null_safe)
+    found = materialise(join_on(right, left, keys, "inner", null_safe).select(*left.columns, *values), "matches")
+    gaps = missing_in(left, found.select(*keys).distinct(), keys, null_safe)
     return found.unionByName(gaps, allowMissingColumns=True)
 
 
@@ -239,7 +257,7 @@ def enrich_roles(
     """
     for role, prefix in roles.items():
         own = {k: c.format(role=role) for k, c in keys.items()}
-        renamed = details.withColumnsRenamed({c: own.get(c, prefix + c) for c in details.columns})
+        renamed = with_prefix(details, prefix).withColumnsRenamed({prefix + k: c for k, c in own.items()})
         df = left_on(df, renamed, list(own.values()), null_safe)
     return df
 

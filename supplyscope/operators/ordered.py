@@ -1,14 +1,12 @@
-"""Order-dependent operators: numbering, de-duplication, sorts and top-k."""
+"""Order-dependent operators: numbering, de-duplication, sorts and top-k. For pages see ``paging``."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.scratch import materialise
-
 # Row ids are whole numbers given once per row, so a window over this many consecutive ids holds at
 # most this many rows of the source.
 ID_SPAN = 1_000_000
@@ -53,6 +51,18 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str =
     return df.groupBy(*keys).agg(chosen).select(*keys, "__row.*").select(*df.columns)
 
 
+def dedupe_by_id(df: DataFrame, keys: Sequence[str], row_id: str, keep: str = "first") -> DataFrame:
+    """One row per key: the one of least or greatest row id.
+
+    ``row_id`` is a whole number given once per row and never null. What is aggregated is that number alone, so this is a hash
+    aggregate of fixed-width state over the key columns; the rows of the chosen ids are then kept by a semi join on
+    one number. :func:`dedupe` carries whole rows through its aggregate, which has to sort them by key.
+    """
+    pick = {"first": F.min, "last": F.max}[keep]
+    chosen = df.groupBy(*keys).agg(pick(row_id).alias(row_id)).select(row_id)
+    return df.join(chosen, row_id, "left_semi")
+
+
 def sort_report(df: DataFrame, cols: Sequence[str], ties: Sequence[str] = ()) -> DataFrame:
     """Ascending sort with nulls last.
 
@@ -76,33 +86,3 @@ def latest(df: DataFrame, col: str, n: int | None, ties: Sequence[str] = ()) ->
     """The ``n`` newest rows (all of them for None), undated rows last."""
     ordered = sort_desc(df, col, ties)
     return ordered if n is None else ordered.limit(n)
-
-
-def page(df: DataFrame, order: Sequence[Column | str], size: int, number: int) -> DataFrame:
-    """One page of an ordered table; pages count from 0. Without a total order pages mean nothing."""
-    if not order:
-        raise ValueError("a page needs an order")
-    at = F.col("__at")
-    rows = numbered(df, order, "__at").filter((at >= size * number) & (at < size * (number + 1)))
-    return rows.orderBy("__at").drop("__at")
-
-
-def numbered(df: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
-    """Adds ``name``, the number from 0 of each row in an order, which should be total.
-
-    Rows are dealt and sorted by range and written once; each range's first number is the sum of the counts of
-    the ranges before it, of which there are as many as partitions. Runs jobs. No task sees all rows, and a
-    row's number costs the same wherever it stands.
-    """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
-    ranged = materialise(ranged.withColumn("__id", F.monotonically_increasing_id()), "ranges")
-    # The id holds the number of the partition above 33 bits that hold the row's place in it.
-    part = F.shiftright("__id", 33)
-    counts = {r.p: r.n for r in ranged.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    starts, total = [], 0
-    for p in range(max(counts, default=0) + 1):
-        starts.append(total)
-        total += counts.get(p, 0)
-    begin = F.element_at(F.array(*[F.lit(x).cast("long") for x in starts]), (part + 1).cast("int"))
-    return ranged.withColumn(name, begin + F.col("__id") - F.shiftleft(part, 33)).drop("__id")

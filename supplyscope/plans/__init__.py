@@ -5,11 +5,12 @@ from .conformance import (
     conformance,
     conformance_display,
     conformance_full_match,
+    conformance_headed,
     conformance_overview,
-    display_headings,
+    conformance_reports,
     issue_fields,
 )
-from .counts import resource_detailed_counts, resource_vs_platform
+from .counts import resource_detailed_counts, resource_reports, resource_vs_platform
 from .endpoints import (
     documentation_stats,
     documentation_top,
@@ -32,6 +33,7 @@ from .quality import (
     authoritative_lookup,
     dataset_scope,
     quality_detail,
+    quality_reports,
     quality_scores,
     quality_single_source,
 )

@@ -31,7 +31,7 @@ from ..operators import (
     spec_fields,
     spread_join,
 )
-from ..sources import materialise, read_specification
+from ..sources import Shared, materialise, read_specification, shared
 from .constants import AUTO_FIELDS, AUTO_FIELDS_UNLESS_TREE, ODP_DATASETS, SPATIAL_DATASETS
 from .supply import cohort_provisions
 
@@ -122,6 +122,11 @@ def keep_if_in_spec(c: Column, allowed: Column) -> Column:
 
 
 def scored_fields(tables: Mapping[str, DataFrame], datasets: Sequence[str] = tuple(ODP_DATASETS)) -> DataFrame:
+    """All supplies with their field counts and ratios: one table for all reports of a run."""
+    return shared(tables, "scored-fields", tuple(datasets), lambda: _scored_fields(tables, datasets))
+
+
+def _scored_fields(tables: Mapping[str, DataFrame], datasets: Sequence[str]) -> DataFrame:
     """All supplies with their field counts and ratios.
 
     Errors are counted per resource, times the number of rows sharing that resource. Rows are numbered
@@ -192,8 +197,10 @@ def conformance_display(tables: Mapping[str, DataFrame]) -> DataFrame:
     return shown.select(*cells, *bands)
 
 
-def display_headings() -> list[str]:
-    return [pretty(c) for c in _DISPLAY_COLUMNS]
+def conformance_headed(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """:func:`conformance_display` under the headings that readers see, without the bands."""
+    shown = conformance_display(tables)
+    return shown.select(*[F.col(f"`{c}`").alias(pretty(c)) for c in _DISPLAY_COLUMNS])
 
 
 def conformance_overview(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -211,3 +218,10 @@ def conformance_full_match(tables: Mapping[str, DataFrame]) -> DataFrame:
     return counted.select(
         F.bround(missing_stats(F.col("total"), F.col("full")), 1).alias("percent_100_field_match")
     )
+
+
+def conformance_reports(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """All reports of one run, by name. Supplies are scored once."""
+    tables = Shared(tables)
+    reports = (conformance, conformance_display, conformance_overview, conformance_full_match)
+    return {r.__name__: r(tables) for r in reports}

@@ -24,6 +24,7 @@ from ..operators import (
     active,
     covers_days,
     dedupe,
+    dedupe_by_id,
     ended,
     first_non_null,
     in_set,
@@ -39,6 +40,7 @@ from ..operators import (
     timestamp_of,
     top_groups,
 )
+from ..sources import materialise
 from .constants import DOCUMENT_LINKS, DOCUMENT_TYPES, PDF_URLS
 
 # --- documentation -----------------------------------------------------------------------------
@@ -121,8 +123,8 @@ def endpoints_without_provision(tables: Mapping[str, DataFrame]) -> DataFrame:
     organisation = active(tables["organisation"]).select(
         F.col("name").alias("organisation"), F.col("reference").alias("organisation_ref")
     )
-    newest_resource = dedupe(tables["resource_endpoint"], ["endpoint"], ["rowid"], "last").drop("rowid")
-    newest_dataset = dedupe(tables["resource_dataset"], ["resource"], ["rowid"], "last").drop("rowid")
+    newest_resource = dedupe_by_id(tables["resource_endpoint"], ["endpoint"], "rowid", "last").drop("rowid")
+    newest_dataset = dedupe_by_id(tables["resource_dataset"], ["resource"], "rowid", "last").drop("rowid")
     provided = (
         tables["provision"]
         .select("dataset", strip_prefix(F.col("organisation")).alias("organisation_ref"))
@@ -131,10 +133,9 @@ def endpoints_without_provision(tables: Mapping[str, DataFrame]) -> DataFrame:
     provided = left_on(provided, organisation, ["organisation_ref"], null_safe=True)
 
     # What is known per endpoint comes first, while there is one row for each; then its sources.
-    with_resource = left_on(endpoint, newest_resource, ["endpoint"])
-    with_dataset = spread_join(
-        with_resource, newest_dataset, ["resource"], "left", null_safe=True, counted=newest_resource
-    )
+    with_resource = materialise(left_on(endpoint, newest_resource, ["endpoint"]), "endpoint-resources")
+    with_dataset = spread_join(with_resource, newest_dataset, ["resource"], "left", null_safe=True)
+    with_dataset = materialise(with_dataset, "endpoint-datasets")
     owned = left_many(with_dataset, source, ["endpoint"])
     named = left_on(owned, organisation, ["organisation_ref"], null_safe=True)
     gaps = missing_in(named, provided, ["dataset", "organisation"])
@@ -232,19 +233,19 @@ def flagged_failed_resources(tables: Mapping[str, DataFrame], newest: int | None
     """
     failed = failed_resources(tables)
     chosen = failed if newest is None else latest(failed, "start_date", newest, ["resource", "dataset"])
-    newest_endpoint = dedupe(tables["resource_endpoint"], ["resource"], ["rowid"], "last").drop("rowid")
-    traced = left_on(chosen, newest_endpoint, ["resource"], null_safe=True)
+    newest_endpoint = dedupe_by_id(tables["resource_endpoint"], ["resource"], "rowid", "last").drop("rowid")
+    traced = materialise(left_on(chosen, newest_endpoint, ["resource"], null_safe=True), "failed-resources")
 
     # A failure is explained per endpoint, however many of its resources failed.
     endpoint = in_set(tables["endpoint"].select("endpoint", "endpoint_url"), traced, ["endpoint"], null_safe=True)
     addressed = endpoint.withColumn("probe_url", F.trim("endpoint_url"))
     probed = spread_join(addressed, probe_findings(tables["url_probe"]), ["probe_url"], "left")
-    newest_source = dedupe(
-        tables["source"].select("rowid", "endpoint", "source", "collection"), ["endpoint"], ["rowid"], "last"
+    newest_source = dedupe_by_id(
+        tables["source"].select("rowid", "endpoint", "source", "collection"), ["endpoint"], "rowid", "last"
     ).drop("rowid")
     sourced = left_on(classify_failed(probed), newest_source, ["endpoint"], null_safe=True)
 
-    report = spread_join(traced, sourced, ["endpoint"], "left", null_safe=True, counted=newest_endpoint)
+    report = spread_join(traced, sourced, ["endpoint"], "left", null_safe=True)
     unknown = report.withColumn("details", F.coalesce("details", F.lit("")))
     flagged = unknown.withColumn("recommend_retirement", yes_no(F.col("group") == DOCUMENT_LINKS))
     return flagged.select(

@@ -35,13 +35,12 @@ def deleted_entities(tables: Mapping[str, DataFrame]) -> DataFrame:
         (F.col("passed") == "False") & (F.col("operation") == "count_deleted_entities")
     )
     listed = explode_entities(failed.select("dataset", "organisation", "details"))
-    listed = listed.withColumn("entity", to_long(F.col("entity")))
+    listed = materialise(listed.withColumn("entity", to_long(F.col("entity"))), "deleted-entities")
     organisation = tables["organisation"].select(
         "organisation", F.col("entity").alias("organisation_entity"), F.col("name").alias("organisation_name")
     )
     # Only entities that some row asks for need to be kept and tested for repeats.
     known = in_set(tables["entity"].select("dataset", "entity", "name", "reference"), listed, ["dataset", "entity"])
-    known = materialise(known, "deleted-entities")
     named = left_on(listed, organisation, ["organisation"], null_safe=True)
     found = left_join_m1(named, known, ["dataset", "entity"], what="entity")
     return found.select(
@@ -55,7 +54,7 @@ def entity_details(tables: Mapping[str, DataFrame], wanted: DataFrame, geometry:
     keys = ["dataset", "entity"]
     columns = [*keys, "name", "organisation_entity", "entry_date", "end_date", *(["geometry"] if geometry else [])]
     spatial = tables["entity"].filter(F.col("dataset").isin(SPATIAL_DATASETS)).select(*columns)
-    known = materialise(in_set(spatial, wanted, keys), "duplicate-entities")
+    known = in_set(spatial, wanted, keys)
     organisation = tables["organisation"].select(
         F.col("entity").alias("organisation_entity"), F.col("name").alias("organisation_name")
     )

@@ -38,7 +38,7 @@ from ..operators import (
     sorted_distinct,
     union_all,
 )
-from ..sources import materialise
+from ..sources import Shared, materialise, shared
 from .constants import (
     AUTHORITATIVE_STEP,
     BOUNDARY_CRITERION,
@@ -60,6 +60,7 @@ from .constants import (
 _SUPPLY = ["pipeline", "organisation"]
 _OWNER = ["pipeline", "organisation", "organisation_name"]
 _CHECKS = ["is_authoritative", "authoritative_check_available", "has_zero_entities"]
+_SCORED = ["lpa_code", *_OWNER]
 
 
 # --- scope -------------------------------------------------------------------------------------
@@ -180,8 +181,7 @@ def entity_ratings(
     """Per pipeline and organisation: whether any entity is of authoritative quality or better.
 
     Null where no entity has a known quality. Only the given pipelines are looked at; ``datasets``, a
-    list that holds them all, lets the scan skip the entities of others. The result is used for three
-    checks, so it is written once.
+    list that holds them all, lets the scan skip the entities of others.
     """
     quality = tables["quality"].select("quality", "priority")
     authoritative = quality.filter(F.col("quality") == "authoritative").select("priority").scalar()
@@ -192,10 +192,9 @@ def entity_ratings(
     # Reduced to distinct qualities per supply before anything is looked up.
     qualities = owned.groupBy("pipeline", "organisation_entity", "quality").agg(F.count(F.lit(1)).alias("n"))
     rated = left_on(in_set(qualities, pipelines, ["pipeline"]), quality, ["quality"])
-    ratings = group_any(
+    return group_any(
         rated, ["pipeline", "organisation_entity"], F.col("priority") >= authoritative, "is_authoritative"
     )
-    return materialise(ratings, "entity-ratings")
 
 
 def _with_codes(ratings: DataFrame, organisations: DataFrame) -> DataFrame:
@@ -318,7 +317,8 @@ def quality_single_source(
     oldest = F.max("resource_age_days").alias("resource_age_days")
     summary = supply_summary(marked, ["collection", *_OWNER], names, oldest)
 
-    ratings = entity_ratings(tables, summary.select("pipeline"), datasets)
+    # Used for three checks.
+    ratings = materialise(entity_ratings(tables, summary.select("pipeline"), datasets), "entity-ratings")
     levels = with_levels(
         summary.select("collection", *_OWNER, "severity_level"), ratings, scored_organisations(tables)
     )
@@ -379,19 +379,25 @@ def scored_marks(tables: Mapping[str, DataFrame], datasets: Sequence[str] | None
     )
 
 
-def _scored_summary(
-    tables: Mapping[str, DataFrame], datasets: Sequence[str], criteria: Sequence[str], listed: Sequence[str] | None = None
-) -> DataFrame:
-    has_endpoint = F.bool_or("has_endpoint").alias("has_endpoint")
-    marks = only_listed(scored_marks(tables, datasets), listed)
-    return supply_summary(marks, ["lpa_code", *_OWNER], criteria, has_endpoint)
+def _marks(tables: Mapping[str, DataFrame], datasets: Sequence[str]) -> DataFrame:
+    return shared(tables, "scored-marks", tuple(datasets), lambda: scored_marks(tables, datasets))
+
+
+def _scored_levels(tables: Mapping[str, DataFrame], datasets: Sequence[str], summary: DataFrame | None = None) -> DataFrame:
+    """The level of every supply of the datasets, from a summary of its marks."""
+    if summary is None:
+        summary = supply_summary(_marks(tables, datasets), _SCORED, [], F.bool_or("has_endpoint").alias("has_endpoint"))
 
+    def rated() -> DataFrame:
+        return entity_ratings(tables, summary.filter("has_endpoint").select("pipeline"), datasets)
 
-def _scored_levels(tables: Mapping[str, DataFrame], summary: DataFrame, datasets: Sequence[str]) -> DataFrame:
-    ratings = entity_ratings(tables, summary.filter("has_endpoint").select("pipeline"), datasets)
-    rows = summary.select("lpa_code", *_OWNER, "severity_level")
-    levels = with_levels(rows, ratings, scored_organisations(tables))
-    return levels.withColumn("quality_level_label", label_of(F.col("quality_level")))
+    def levels() -> DataFrame:
+        # Used for three checks.
+        ratings = shared(tables, "entity-ratings", tuple(datasets), rated, write=True)
+        found = with_levels(summary.select(*_SCORED, "severity_level"), ratings, scored_organisations(tables))
+        return found.withColumn("quality_level_label", label_of(F.col("quality_level")))
+
+    return shared(tables, "scored-levels", tuple(datasets), levels)
 
 
 def quality_scores(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -401,7 +407,7 @@ def quality_scores(tables: Mapping[str, DataFrame]) -> DataFrame:
     start date are blank for organisations outside the ODP project.
     """
     datasets = detail_datasets(tables)
-    levels = _scored_levels(tables, _scored_summary(tables, datasets, []), datasets)
+    levels = _scored_levels(tables, datasets)
 
     cohorts = _odp_provisions(tables).select("organisation", "cohort", "start_date").distinct()
     index = ["cohort", "start_date", "organisation", "organisation_name"]
@@ -426,9 +432,9 @@ def quality_detail(tables: Mapping[str, DataFrame], criteria: Sequence[str] | No
     """
     datasets = detail_datasets(tables)
     names = list(criteria) if criteria is not None else distinct_values(scored_marks(tables), "quality_criteria")
-    summary = _scored_summary(tables, datasets, names, criteria)
+    summary = supply_summary(only_listed(_marks(tables, datasets), criteria), _SCORED, names, F.bool_or("has_endpoint").alias("has_endpoint"))
     matrix = criteria_matrix(summary, names)
-    report = _attach(matrix, _scored_levels(tables, summary, datasets), _CHECKS)
+    report = _attach(matrix, _scored_levels(tables, datasets, summary), _CHECKS)
     placed = left_on(report, _odp_provisions(tables), _SUPPLY, null_safe=True)
 
     expected = _named_provisions(tables, ["organisation", "pipeline", "cohort", "start_date"])
@@ -437,3 +443,9 @@ def quality_detail(tables: Mapping[str, DataFrame], criteria: Sequence[str] | No
     front = ["pipeline", "cohort", "start_date", "organisation", "organisation_name", *names, *_CHECKS]
     ordered = order_columns(combined, front, ["quality_level_label"])
     return sort_report(ordered, ["pipeline", "organisation"], ["organisation_name"])
+
+
+def quality_reports(tables: Mapping[str, DataFrame], criteria: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """The scores and the detail of one run, by name. Marks, ratings and levels are made once."""
+    tables = Shared(tables)
+    return {"quality_detail": quality_detail(tables, criteria), "quality_scores": quality_scores(tables)}

@@ -12,6 +12,7 @@ from .readers import (
 )
 from .schemas import TABLES
 from .scratch import materialise, scratch_dir
-from .writers import export_table, write_report, write_split
+from .shared import Shared, shared
+from .writers import export_table, write_report, write_reports, write_split
 
 __all__ = [name for name in dir() if not name.startswith("_")]

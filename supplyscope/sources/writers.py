@@ -34,6 +34,12 @@ def export_table(df: DataFrame, path: str) -> None:
     write_report(df, path)
 
 
+def write_reports(reports: Mapping[str, DataFrame], folder: str) -> None:
+    """Several reports, each into a directory of its name."""
+    for name, df in reports.items():
+        write_report(df, f"{folder}/{name}")
+
+
 def write_split(
     df: DataFrame, parts: Mapping[str, tuple[Column | None, Sequence[str] | None]]
 ) -> None:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplyscope import plans
-from supplyscope.operators import page, union_datasets
+from supplyscope.operators import page, page_count, page_numbers, read_page, store_ordered, union_datasets
 from supplyscope.sources import (
     TABLES,
     dataset_slugs,
@@ -21,6 +22,7 @@ from supplyscope.sources import (
     read_pages,
     scratch_dir,
     write_report,
+    write_reports,
     write_split,
 )
 
@@ -33,6 +35,22 @@ ENDPOINT_DAY = dt.date(2001, 8, 2)
 CRITERIA = ["1 - unknown entity", "2 - duplicate reference values", "3 - invalid geometry", "3 - missing value"]
 LPA_CRITERIA = sorted([*CRITERIA, "3 - entities within LPA boundary", "3 - entity count matches LPA"])
 
+#: Group and measure of each report's totals.
+RESOURCE_TOTALS = {
+    "resource_detailed_counts": ("dataset", "sum(line_count)"),
+    "resource_vs_platform": ("dataset", "sum(coalesce(dataset_resource_line_count, 0) + coalesce(platform_entity_count, 0))"),
+}
+QUALITY_TOTALS = {
+    "quality_detail": ("quality_level_label", "count(DISTINCT organisation)"),
+    "quality_scores": ("`ready_for_ODP_adoption`", "count(DISTINCT organisation)"),
+}
+CONFORMANCE_TOTALS = {
+    "conformance": ("cohort", "sum(field_supplied)"),
+    "conformance_display": ("field_matched_band", "count(DISTINCT organisation)"),
+    "conformance_overview": ("dataset", "sum(`> 80%`)"),
+    "conformance_full_match": ("CAST(NULL AS STRING)", "round(sum(percent_100_field_match * 10))"),
+}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -136,11 +154,74 @@ def _empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_table(spark, path, TABLES["dataset_registry"])
 
 
+def _page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup written as pages of JSON objects, one page for each 1000 row ids."""
+    path = scratch_dir(spark, "record-pages")
+    lookup = tables(spark, sf_dir, "lookup")["lookup"]
+    paged = lookup.withColumn("page", F.floor(F.col("rowid") / 1000)).repartition("page")
+    paged.write.partitionBy("page").option("ignoreNullFields", False).json(path)
+    return read_pages(spark, f"{path}/page=*", TABLES["lookup"], "records", lines=True)
+
+
+def _page_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The resources of datasets written as CSV pages, one for each 1000 row ids, and read back with their types."""
+    path = scratch_dir(spark, "csv-pages")
+    rows = tables(spark, sf_dir, "resource_dataset")["resource_dataset"]
+    paged = rows.withColumn("page", F.floor(F.col("rowid") % 16000 / 1000)).repartition("page")
+    paged.write.partitionBy("page").option("header", True).csv(path)
+    return read_pages(spark, f"{path}/page=*", TABLES["resource_dataset"], "csv")
+
+
+def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = tables(spark, sf_dir, "historic_endpoint")["historic_endpoint"]
+    return history.select("rowid", "endpoint", "endpoint_entry_date")
+
+
+def _newest() -> list:
+    return [F.desc("endpoint_entry_date"), F.col("rowid")]
+
+
 def _page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second page of 1000 endpoint rows, newest first."""
-    history = tables(spark, sf_dir, "historic_endpoint")["historic_endpoint"]
-    rows = history.select("rowid", "endpoint", "endpoint_entry_date")
-    return page(rows, [F.desc("endpoint_entry_date"), F.col("rowid")], 1000, 1)
+    return page(_history(spark, sf_dir), _newest(), 1000, 1)
+
+
+def _page_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last page of 700 endpoint rows, from a stored order."""
+    path = scratch_dir(spark, "ordered")
+    store_ordered(_history(spark, sf_dir), _newest(), path)
+    return read_page(spark, path, 700, page_count(spark, path, 700) - 1)
+
+
+def _page_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All endpoint rows with the number of their page of 700."""
+    path = scratch_dir(spark, "ordered")
+    store_ordered(_history(spark, sf_dir), _newest(), path)
+    return page_numbers(spark, path, 700)
+
+
+def _written_pair(reports: Callable[..., dict[str, DataFrame]], measures: dict[str, str], *names: str, **options) -> Query:
+    """Reports of one run written to their sinks, and read back for a line of totals by report and group.
+
+    ``measures`` has SQL for the group and the measure of each report.
+    """
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = scratch_dir(spark, "reports")
+        made = reports(tables(spark, sf_dir, *names), **options)
+        write_reports(made, folder)
+        lines = []
+        for name, df in made.items():
+            group, measure = measures[name]
+            back = read_csv_table(spark, f"{folder}/{name}", df.schema)
+            lines.append(
+                back.groupBy(F.expr(group).cast("string").alias("part")).agg(
+                    F.lit(name).alias("report"), F.count(F.lit(1)).alias("n"), F.expr(measure).cast("bigint").alias("measure")
+                )
+            )
+        return reduce(DataFrame.unionByName, lines).select("report", "part", "n", "measure")
+
+    return run
 
 
 _PROVISION = ["endpoint", "source", "organisation", "resource_endpoint", "resource_dataset", "provision"]
@@ -220,6 +301,12 @@ def queries() -> dict[str, Query]:
         "quality_detail": _report(plans.quality_detail, *_LPA_QUALITY, criteria=LPA_CRITERIA),
         "conformance": _plain_number_column(_report(plans.conformance, *_CONFORMANCE)),
         "conformance_display": _plain_number_column(_report(plans.conformance_display, *_CONFORMANCE)),
+        "conformance_headed": lambda spark, d: _report(plans.conformance_headed, *_CONFORMANCE)(spark, d).withColumnRenamed(
+            "Endpoint No.", "Endpoint No"
+        ),
+        "resource_reports": _written_pair(plans.resource_reports, RESOURCE_TOTALS, *_COUNTS),
+        "quality_reports": _written_pair(plans.quality_reports, QUALITY_TOTALS, *_LPA_QUALITY, criteria=LPA_CRITERIA),
+        "conformance_reports": _written_pair(plans.conformance_reports, CONFORMANCE_TOTALS, *_CONFORMANCE),
         "conformance_overview": _report(plans.conformance_overview, *_CONFORMANCE),
         "conformance_full_match": _report(plans.conformance_full_match, *_CONFORMANCE),
         "issue_fields": _report(plans.issue_fields, "issue_summary", "specification"),
@@ -231,5 +318,9 @@ def queries() -> dict[str, Query]:
         "io_ragged_union": _union,
         "io_split": _split,
         "io_empty": _empty,
+        "io_pages_records": _page_records,
+        "io_pages_csv": _page_csv,
         "page": _page,
+        "page_last": _page_last,
+        "page_numbers": _page_numbers,
     }

@@ -5,7 +5,7 @@ Written from the report definitions, with joins and windows as plainly as possib
 
 from __future__ import annotations
 
-from .bindings import CRITERIA, LPA_CRITERIA
+from .bindings import CONFORMANCE_TOTALS, CRITERIA, LPA_CRITERIA, QUALITY_TOTALS, RESOURCE_TOTALS
 from .views import PLANS, SPATIAL, with_views
 
 DOCUMENT = ["article-4-direction", "conservation-area-document", "tree-preservation-order"]
@@ -580,6 +580,16 @@ SELECT {_pretty('cohort')} AS cohort, {_pretty('organisation_name')} AS organisa
        CAST(field_matched AS STRING) || '/' || CAST(field AS STRING) AS field_matched_count, {_percent('field_matched_pct')},
        {_band('field_supplied_pct')}, {_band('field_matched_pct')}
 FROM ratios""",
+        "conformance_headed": f"""
+WITH {_SCORED_FIELDS}
+SELECT {_pretty('cohort')} AS "Cohort", {_pretty('organisation_name')} AS "Organisation Name",
+       {_pretty('organisation')} AS "Organisation", {_pretty('dataset')} AS "Dataset", {_pretty('licence')} AS "Licence",
+       endpoint_no AS "Endpoint No",
+       CAST(field_supplied AS STRING) || '/' || CAST(field AS STRING) AS "Field Supplied ",
+       field_supplied_pct AS "Field Supplied %",
+       CAST(field_matched AS STRING) || '/' || CAST(field AS STRING) AS "Field Matched ",
+       field_matched_pct AS "Field Matched %"
+FROM (SELECT * REPLACE ({_percent('field_supplied_pct')}, {_percent('field_matched_pct')}) FROM ratios)""",
         "conformance_overview": f"""
 WITH {_SCORED_FIELDS},
 dim AS (SELECT * FROM (VALUES {", ".join(f"('{d}')" for d in SPATIAL)}) AS t(dataset))
@@ -618,11 +628,40 @@ WITH {_NO_PROVISION}
 SELECT endpoint, source, collection, endpoint_url, organisation, dataset,
        CASE WHEN ends_with(lower(coalesce(endpoint_url, '')), '.pdf') THEN 'pdf' ELSE 'other' END AS part FROM gaps""",
         "io_empty": "SELECT dataset FROM dataset_registry WHERE dataset = 'no such dataset'",
+        "io_pages_records": "SELECT * FROM lookup",
+        "io_pages_csv": "SELECT rowid, dataset, nullif(resource, '') AS resource FROM resource_dataset",
+        "page_last": """
+SELECT rowid, endpoint, endpoint_entry_date FROM (
+  SELECT *, row_number() OVER (ORDER BY endpoint_entry_date DESC, rowid) - 1 AS nr, count(*) OVER () AS total FROM historic_endpoint)
+WHERE nr // 700 = (total - 1) // 700""",
+        "page_numbers": """
+SELECT rowid, endpoint, endpoint_entry_date,
+       (row_number() OVER (ORDER BY endpoint_entry_date DESC, rowid) - 1) // 700 AS page
+FROM historic_endpoint""",
         "page": """
 SELECT rowid, endpoint, endpoint_entry_date FROM historic_endpoint
 ORDER BY endpoint_entry_date DESC, rowid LIMIT 1000 OFFSET 1000""",
     }
 
 
+def _totals(reports: dict[str, str], measures: dict[str, tuple[str, str]]) -> str:
+    """A line of totals by report and group, from the SQL of the reports."""
+    lines = []
+    for name, (group, measure) in measures.items():
+        group, measure = (x.replace("`", '"') for x in (group, measure))
+        lines.append(
+            f"""SELECT '{name}' AS report, nullif(CAST({group} AS STRING), '') AS part, count(*) AS n,
+                CAST({measure} AS BIGINT) AS measure FROM ({reports[name]}) AS r GROUP BY ALL"""
+        )
+    return " UNION ALL ".join(lines)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: with_views(sql) for name, sql in _oracles().items()}
+    reports = _oracles()
+    for name, measures in (
+        ("resource_reports", RESOURCE_TOTALS),
+        ("quality_reports", QUALITY_TOTALS),
+        ("conformance_reports", CONFORMANCE_TOTALS),
+    ):
+        reports[name] = _totals(reports, measures)
+    return {name: with_views(sql) for name, sql in reports.items()}

@@ -54,7 +54,8 @@ _ISSUE_DATASET = f"CASE WHEN l_linenumber % 3 = 0 THEN {_pick('l_orderkey % 5',
 VIEWS: dict[str, str] = {
     "organisation": f"""
 SELECT c_custkey AS entity, {_kind('c_custkey')} || ':' || {_text('c_custkey')} AS organisation,
-       c_name AS name, {_text('c_custkey')} AS reference,
+       CASE WHEN c_custkey % 43 = 11 THEN 'Waveney District Council' ELSE c_name END AS name,
+       {_text('c_custkey')} AS reference,
        CASE WHEN c_custkey % 31 = 7 THEN NULL ELSE {_kind('c_custkey')} END AS dataset,
        CASE WHEN c_custkey % 10 = 0 THEN DATE '2000-01-01' END AS end_date,
        CASE WHEN c_nationkey < 20 THEN 'E' || {_text('c_custkey')} END AS local_planning_authority

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from supplyscope import operators as O
-from supplyscope.operators.filters import active, ended, split_active
+from supplyscope.operators.filters import active, ended
 from supplyscope.operators.reshape import distinct_values
 
 
@@ -83,25 +83,43 @@ def test_spread_join_and_number_within_leave_no_task_with_the_hot_key(spark):
             spark.conf.set(k, v)
 
 
-def test_spread_join_splits_null_keys_that_were_not_counted(spark):
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = {k: spark.conf.get(k) for k in NO_BROADCAST}
+    for k, v in NO_BROADCAST.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_spread_join_splits_a_hot_null_key(spark, no_broadcast):
     left = spark.range(20_000).select(
         F.when(F.col("id") % 10 == 0, F.concat(F.lit("k"), F.col("id").cast("string"))).alias("k"), F.col("id").alias("rowid")
     )
     right = spark.createDataFrame([(None, 1), ("k10", 2)], "k string, v int")
-    counted = left.dropna().select("k")
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
-                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    before = {k: spark.conf.get(k) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        joined = O.spread_join(left, right, ["k"], null_safe=True, counted=counted, hot_rows=1000)
-        per_task = joined.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("v")).collect()
-        assert max(r.n for r in per_task) < 5_000
-        assert sum(r.n for r in per_task) == 20_000 and sum(r.v or 0 for r in per_task) == 18_002
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+    joined = O.spread_join(left, right, ["k"], null_safe=True, hot_rows=1000)
+    per_task = joined.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("v")).collect()
+    assert max(r.n for r in per_task) < 5_000
+    assert sum(r.n for r in per_task) == 20_000 and sum(r.v or 0 for r in per_task) == 18_002
+
+
+def test_spread_join_repeats_right_rows_of_hot_keys_only(spark, rows):
+    right = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3)], "k string, v int")
+    hot = spark.createDataFrame([("b", 3)], "k string, __pieces int")
+    pieces = [("a", 2, 0), ("b", 3, 0), ("b", 3, 1), ("b", 3, 2)]
+    for null_safe in (False, True):
+        assert rows(O.repeated(right, hot, ["k"], null_safe), "k", "v", "__piece") == [(None, 1, 0), *pieces]
+    unknown = spark.createDataFrame([(None, 2)], "k string, __pieces int")
+    assert rows(O.repeated(right, unknown, ["k"], True), "k", "__piece") == [(None, 0), (None, 1), ("a", 0), ("b", 0)]
+    # Few null keys: nothing is repeated for them.
+    left = spark.createDataFrame([(None, i) for i in range(50)] + [("a", 0)], "k string, l int")
+    joined = O.spread_join(left, right, ["k"], null_safe=True)
+    assert rows(joined.groupBy("k").agg(F.count("v"))) == [(None, 50), ("a", 1)]
 
 
 def test_left_join_m1_stops_on_a_repeated_key(spark, rows):
@@ -111,6 +129,44 @@ def test_left_join_m1_stops_on_a_repeated_key(spark, rows):
     twice = spark.createDataFrame([("a", 1), ("c", 2), ("c", 3)], "k string, v int")
     with pytest.raises(Exception, match="dims: more than one row for key c"):
         O.left_join_m1(left, twice, ["k"], what="dims").collect()
+    unknown = spark.createDataFrame([(None, 2), (None, 3)], "k string, v int")
+    with pytest.raises(Exception, match="more than one row for key null"):
+        O.left_join_m1(left, unknown, ["k"]).collect()
+
+
+def test_left_join_m1_on_two_keys_and_plain_nulls(spark, rows):
+    left = spark.createDataFrame([("a", 1), ("a", None), (None, None)], "k string, j int")
+    right = spark.createDataFrame([("a", 1, 10), ("a", None, 20), (None, None, 30)], "k string, j int, v int")
+    assert rows(O.left_join_m1(left, right, ["k", "j"])) == [(None, None, 30), ("a", None, 20), ("a", 1, 10)]
+    assert rows(O.left_join_m1(left, right, ["k", "j"], null_safe=False)) == [(None, None, None), ("a", None, None), ("a", 1, 10)]
+
+
+def scans(df, path):
+    """How often the executed plan of ``df`` reads files under ``path``."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count(f"{path}")
+
+
+def test_left_join_m1_reads_and_shuffles_the_lookup_once(spark, no_broadcast, tmp_path):
+    spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v")).write.parquet(str(tmp_path / "lookup"))
+    left = spark.range(50).select(F.col("id").alias("k"))
+    joined = O.left_join_m1(left, spark.read.parquet(str(tmp_path / "lookup")), ["k"])
+    assert scans(joined, tmp_path / "lookup") == 1
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ShuffleQueryStage") == 2
+
+
+def test_left_many_reads_the_right_side_once(spark, rows, tmp_path, monkeypatch):
+    from supplyscope.operators import joins
+
+    spark.createDataFrame([("a", 10), ("a", 11), ("c", 30)], "k string, r int").write.parquet(str(tmp_path / "many"))
+    right = spark.read.parquet(str(tmp_path / "many"))
+    read = []
+    write = joins.materialise
+    monkeypatch.setattr(joins, "materialise", lambda df, name: read.append(scans(df, tmp_path / "many")) or write(df, name))
+    joined = O.left_many(spark.createDataFrame([("a", 1), ("b", 2)], "k string, l int"), right, ["k"])
+    assert read == [1] and scans(joined, tmp_path / "many") == 0
+    assert rows(joined) == [("a", 1, 10), ("a", 1, 11), ("b", 2, None)]
 
 
 def test_coverage_grid_has_a_row_per_match_and_one_per_gap(spark, rows):
@@ -142,6 +198,19 @@ def test_outer_compare(spark, rows):
     a = spark.createDataFrame([("x", 1), (None, 2)], "k string, a int")
     b = spark.createDataFrame([(None, 3), ("y", 4)], "k string, b int")
     assert rows(O.outer_compare(a, b, ["k"])) == [(None, 2, 3), ("x", 1, None), ("y", None, 4)]
+    twice = O.outer_compare(a.union(a), b, ["k"], F.sum("a").alias("a"), F.count("b").alias("n"))
+    assert rows(twice) == [(None, 4, 1), ("x", 2, 0), ("y", None, 1)]
+    with pytest.raises(ValueError, match="both sides"):
+        O.outer_compare(a, a, ["k"])
+
+
+def test_outer_compare_is_one_shuffle(spark, no_broadcast):
+    a, b = (spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias(c)) for c in "ab")
+    both = O.outer_compare(a, b, ["k"], F.sum("a").alias("a"), F.sum("b").alias("b"))
+    assert both.count() == 7
+    both.collect()
+    plan = both._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ShuffleQueryStage") == 1 and "Join" not in plan
 
 
 def test_enrich_roles(spark, rows):
@@ -160,7 +229,6 @@ def test_filters(spark, rows):
     df = spark.createDataFrame([("", 1), (None, 2), ("2020-01-01", 3), ("  ", 4)], "end_date string, i int")
     assert rows(active(df), "i") == [(1,), (2,), (4,)]
     assert rows(ended(df), "i") == [(3,)]
-    assert [d.count() for d in split_active(df)] == [3, 1]
     named = spark.createDataFrame([("a",), (None,), ("b",)], "name string")
     assert rows(O.exclude(named, "name", "a")) == [("b",)]
     assert O.with_prefix(named, "a_").columns == ["a_name"]
@@ -172,10 +240,35 @@ def test_groups_drop_or_keep_null_keys(spark, rows):
     assert rows(O.group_count(df, ["k"])) == [("a", 2)]
     assert rows(O.group_count(df, ["k"], "v", dropna=False)) == [(None, 1), ("a", 1)]
     assert rows(O.group_distinct(df, ["k"], {"v": "n"})) == [(None, 1), ("a", 2)]
+    assert rows(O.group_distinct(df, ["k"], {"v": "n"}, dropna=True)) == [("a", 2)]
     assert rows(O.group_min_max(df, ["k"], "v")) == [("a", 1, 1)]
     assert rows(O.group_any(df, ["k"], F.col("v") > 1, "big", dropna=False)) == [(None, True), ("a", False)]
 
 
+def test_distinct_counts_of_a_group_with_most_rows(spark, rows, no_broadcast):
+    """Nine rows in ten under one owner: its values are spread over the tasks before they are counted."""
+    owner = F.when(F.col("id") % 10 < 9, "hot").otherwise(F.concat(F.lit("o"), F.col("id") % 5))
+    df = spark.range(20_000).select(owner.alias("k"), (F.col("id") % 6000).alias("v"), (F.col("id") % 3).cast("string").alias("w"))
+    got = O.group_distinct(df, ["k"], {"v": "nv", "w": "nw"})
+    want = df.groupBy("k").agg(F.count_distinct("v").alias("nv"), F.count_distinct("w").alias("nw"))
+    assert rows(got, "k", "nv", "nw") == rows(want, "k", "nv", "nw")
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "hashpartitioning(k" in plan and "__value" in plan.split("hashpartitioning(k")[-1].split("\n")[0]
+    tall = df.select("k", F.col("v").cast("string").alias("__value")).distinct()
+    per_task = tall.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in per_task) < 0.2 * sum(r["count"] for r in per_task)
+
+
+def test_dedupe_by_id(spark, rows):
+    data = [("e", "r1", 1), ("e", "r3", 3), ("e", "r2", 2), ("f", None, 4), (None, "x", 5), (None, "y", 6)]
+    df = spark.createDataFrame(data, "endpoint string, resource string, rowid int")
+    assert rows(O.dedupe_by_id(df, ["endpoint"], "rowid"), "endpoint", "resource") == [(None, "x"), ("e", "r1"), ("f", None)]
+    last = O.dedupe_by_id(df, ["endpoint"], "rowid", "last")
+    assert rows(last, "endpoint", "resource") == [(None, "y"), ("e", "r3"), ("f", None)]
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
 def test_dedupe_keeps_first_or_last(spark, rows):
     df = spark.createDataFrame([("e", "r1", 1), ("e", "r3", 3), ("e", "r2", 2), ("f", None, 1)], "endpoint string, resource string, rowid int")
     assert rows(O.dedupe(df, ["endpoint"], ["rowid"], "first"), "endpoint", "resource") == [("e", "r1"), ("f", None)]
@@ -213,6 +306,27 @@ def test_top_latest_page(spark):
     assert [r.n for r in O.page(many, ["n"], 100, 41).collect()] == list(range(4_100, 4_200))
 
 
+def test_a_stored_order_is_read_by_ranges(spark, tmp_path):
+    path = str(tmp_path / "stored")
+    shuffled = spark.range(5_000).select((F.col("id") * 7919 % 5_000).alias("n"), F.lit("x").alias("t"))
+    O.store_ordered(shuffled, ["n"], path, ranges=20)
+    assert len(spark.read.parquet(f"{path}/rows").inputFiles()) == 20
+    for size, number in ((100, 0), (100, 41), (7, 714), (250, 19), (1, 4_999)):
+        got = O.read_page(spark, path, size, number)
+        assert got.columns == ["n", "t"]
+        assert [r.n for r in got.collect()] == list(range(5_000))[size * number : size * (number + 1)]
+        # Ranges hold about 250 rows.
+        assert len(got.inputFiles()) <= 3
+    assert [r.n for r in O.rows_between(spark, path, 240, 1_260).collect()] == list(range(240, 1_260))
+    assert O.read_page(spark, path, 100, 50).collect() == []
+    assert O.page_count(spark, path, 700) == 8
+    pages = {r.n: r.page for r in O.page_numbers(spark, path, 700).collect()}
+    assert pages == {n: n // 700 for n in range(5_000)}
+    O.store_ordered(shuffled.limit(0), ["n"], str(tmp_path / "none"))
+    assert O.page_count(spark, str(tmp_path / "none"), 10) == 0
+    assert O.page_numbers(spark, str(tmp_path / "none"), 10).collect() == []
+
+
 def test_sets(spark, rows):
     a = spark.createDataFrame([("x", 1), ("x", 1), ("y", 2)], "k string, a int")
     b = spark.createDataFrame([("x", 9)], "k string, b int")

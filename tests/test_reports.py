@@ -1,11 +1,13 @@
 """Rules that the generated tables cannot show, on small hand-written tables."""
 
 import datetime as dt
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
 from supplyscope import plans
+from supplyscope import sources as S
 from supplyscope.plans import quality
 from supplyscope.plans.endpoints import classify_failed, probe_findings
 from supplyscope.sources import TABLES
@@ -383,3 +385,81 @@ def test_ended_organisations_match_null_codes(table):
     }
     got = plans.ended_orgs_active_endpoints(t).collect()
     assert sorted((r.organisation_name, r.organisation_code or "") for r in got) == [("A", "d:1"), ("B", "")]
+
+
+# --- several reports of one run ----------------------------------------------------------------
+
+
+def written(monkeypatch):
+    """Names of the intermediate tables that are written from now on."""
+    names, write = [], S.materialise
+
+    def noted(df, name):
+        names.append(name)
+        return write(df, name)
+
+    for module in ("sources.shared", "plans.conformance", "plans.quality"):
+        monkeypatch.setattr(sys.modules[f"supplyscope.{module}"], "materialise", noted)
+    return names
+
+
+def test_reports_of_one_run_share_what_they_have_in_common(spark, monkeypatch):
+    from testbed import bindings as b
+    from testbed.views import tables
+
+    small = "/root/testdata/sf0.001"
+    names = written(monkeypatch)
+    made = plans.resource_reports(tables(spark, small, *b._COUNTS))
+    assert names == ["counted-rows"]
+    for df in made.values():
+        # The log of endpoint rows and the counts are in the written table.
+        assert "orders" not in (text := df._jdf.queryExecution().executedPlan().toString()) and "lineitem" not in text
+
+    names.clear()
+    made = plans.conformance_reports(tables(spark, small, *b._CONFORMANCE))
+    assert names == ["field-rows", "scored-fields"] and len(made) == 4
+    for df in made.values():
+        assert "orders" not in df._jdf.queryExecution().executedPlan().toString()
+
+    names.clear()
+    plans.quality_reports(tables(spark, small, *b._LPA_QUALITY), b.LPA_CRITERIA)
+    assert [names.count(n) for n in ("scored-marks", "entity-ratings", "scored-levels")] == [1, 1, 1]
+    assert len(names) == 5
+
+    names.clear()
+    plans.quality_scores(tables(spark, small, *b._LPA_QUALITY))
+    assert "scored-marks" not in names and "scored-levels" not in names
+
+
+def test_shared_results_are_kept_by_name_and_parameters(spark):
+    from supplyscope.sources import Shared, shared
+
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(3)
+
+    tables = Shared({"t": spark.range(1)})
+    assert list(tables) == ["t"] and len(tables) == 1 and tables["t"].count() == 1
+    for _ in range(2):
+        assert shared(tables, "x", ("a",), build).count() == 3
+    shared(tables, "x", ("b",), build)
+    assert len(calls) == 2
+    shared({}, "x", ("a",), build)
+    shared({}, "x", ("a",), build, write=True)
+    assert len(calls) == 4
+
+
+def test_the_unscored_organisation_is_left_out(table):
+    names = [{"entity": 1, "organisation": "a", "name": "Waveney District Council"}, {"entity": 2, "organisation": "b", "name": "B"}]
+    found = quality.scored_organisations({"organisation": table("organisation", *names)})
+    assert [r.organisation for r in found.collect()] == ["b"]
+
+
+def test_headings():
+    from supplyscope.functions import pretty
+
+    assert [pretty(x) for x in ("field_supplied_pct", "field_matched_count", "endpoint_no.", "cohort")] == [
+        "Field Supplied %", "Field Matched ", "Endpoint No.", "Cohort",
+    ]
