@@ -25,8 +25,10 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,11 +47,50 @@ REMEMBERED = 250_000
 #: An id pair in one number: ids of B have so many bits.
 B_BITS = 15
 
+#: Pieces of text given to a tokenizer as one.
+_TOGETHER = 1000
+#: White space before a space, or at either end: where a part of a text split at spaces ends in white space, or is empty.
+_OPEN = re.compile(r"\s(?: |\Z)|\A(?: |\Z)")
+
 _known: dict[tuple[str, str], Tokenizers] = {}
 
 
+class _Numbers(dict):
+    """Numbers keys in the order in which they are first asked for, and lists the new ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        self.new.append(key)
+        return n
+
+
+class _Side:
+    """One tokenizer's ids of the pieces met so far, end to end."""
+
+    def __init__(self):
+        self.flat, self.start = np.zeros(0, np.int64), np.zeros(1, np.int64)
+
+    def extend(self, found: list[np.ndarray], sizes: list[np.ndarray]) -> None:
+        self.flat = np.concatenate([self.flat, *found])
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(np.concatenate(sizes))])
+
+    def gather(self, number: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of numbered pieces, and the bounds of texts of ``count`` pieces each."""
+        sizes = self.start[number + 1] - self.start[number]
+        bound = np.concatenate(([0], np.cumsum(sizes)))
+        at = np.repeat(self.start[number] - bound[:-1], sizes) + np.arange(bound[-1])
+        return self.flat[at], bound[np.concatenate(([0], np.cumsum(count)))]
+
+
 class Tokenizers:
-    """Both tokenizers, the byte lengths of their tokens, and the ids of pieces of text met before."""
+    """Both tokenizers, the bytes of their tokens, and the ids of pieces of text met before.
+
+    A piece is a space and what follows; its key is what follows.
+    """
 
     def __init__(self, path_a: str, path_b: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task on each core
@@ -70,66 +111,103 @@ class Tokenizers:
         self.size_a, self.size_b = (np.array([len(x) for x in known], np.int64) for known in (self.bytes_a, self.bytes_b))
         pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
         self.separable = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.closed: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers, self.sides, self.faithful = _Numbers(), (_Side(), _Side()), np.zeros(0, bool)
 
     def _piece_bytes(self, k: int) -> bytes:
         if self.b.is_byte(k):
             return bytes([int(self.b.id_to_piece(k)[3:5], 16)])
         return self.b.id_to_piece(k).replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
-        """Ids of A of a space and each text, and ids of B of each text, as unsigned 16-bit numbers."""
-        found = self.a.encode_batch_fast([" " + x for x in texts], add_special_tokens=False)
-        a = [np.array(e.ids, "<u2").tobytes() for e in found]
-        space = np.array([self.b.piece_to_id("▁")], "<u2").tobytes()
+    def encode(self, keys: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of both tokenizers of a space and each key."""
+        a = [np.array(e.ids, np.int64) for e in self.a.encode_batch_fast([" " + x for x in keys], add_special_tokens=False)]
+        space = [self.b.piece_to_id("▁")]
         # B adds its space to all but the empty text.
-        b = [np.array(e, "<u2").tobytes() if x else space for x, e in zip(texts, self.b.encode(texts, num_threads=1), strict=True)]
+        b = [np.array(e if x else space, np.int64) for x, e in zip(keys, self.b.encode(keys, num_threads=1), strict=True)]
         return a, b
 
-    def _remember(self, parts: set[str]) -> None:
-        a, b = self.closed
-        new = [p for p in parts if p not in a]
-        if len(a) + len(new) > REMEMBERED:
-            a.clear(), b.clear()
-            new = list(parts)
-        for at in range(0, len(new), 10_000):
-            own = new[at : at + 10_000]
-            for memory, ids in zip(self.closed, self.encode(own), strict=True):
-                memory.update(zip(own, ids, strict=True))
-
-    def ids(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
-        """As :meth:`encode`, by way of what is remembered."""
-        if not self.separable:
-            return self.encode(texts)
-        a, b = self.closed
-        parts = [x.split(" ") for x in texts]
-        unknown = set().union(*parts) - a.keys()
-        opened = {p for p in unknown if not p or p[-1].isspace()}
-        tails = [""] * len(parts)
-        if opened:
-            for k, own in enumerate(parts):
-                if not opened.isdisjoint(own):
-                    parts[k], tails[k] = _units(own)
-        if unknown:
-            self._remember(set().union(*parts))
-        ends = dict(zip(e := sorted({x for x in tails if x}), zip(*self.encode([x[1:] for x in e]), strict=True), strict=True)) if any(tails) else {}
-        out_a, out_b = ([b"".join(map(memory.__getitem__, own)) for own in parts] for memory in (a, b))
-        for k, tail in enumerate(tails):
-            if tail:
-                out_a[k] += ends[tail][0]
-                out_b[k] += ends[tail][1]
-        return out_a, out_b
-
-
-def _units(parts: list[str]) -> tuple[list[str], str]:
-    """Of a text split at spaces: parts that do not end in white space, with those before them that do, and what is left
-    at the end, with its space."""
+    def is_faithful(self, key: str, a: np.ndarray, b: np.ndarray) -> bool:
+        """Whether the bytes of both tokenizers' tokens are those of a space and the key."""
+        whole = b" " + key.encode()
+        return all(b"".join(map(known.__getitem__, ids.tolist())) == whole for known, ids in ((self.bytes_a, a), (self.bytes_b, b)))
+
+    def _learn(self, keys: list[str]) -> None:
+        found, sizes, good = ([], []), ([], []), [self.faithful]
+        for k in range(0, len(keys), _TOGETHER):
+            own = keys[k : k + _TOGETHER]
+            together = self._together(own)
+            if together is None:
+                sides = self.encode(own)
+                good.append(np.array([self.is_faithful(x, a, b) for x, a, b in zip(own, *sides, strict=True)]))
+                together = [(np.concatenate(side), np.array([len(x) for x in side], np.int64)) for side in sides]
+            else:
+                good.append(np.ones(len(own), bool))
+            for n, (ids, size) in enumerate(together):
+                found[n].append(ids)
+                sizes[n].append(size)
+        for n, side in enumerate(self.sides):
+            side.extend(found[n], sizes[n])
+        self.faithful = np.concatenate(good)
+
+    def _together(self, keys: list[str]) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """Ids of pieces that were tokenized as one text, and how many each has; None if they cannot be told apart."""
+        if not self.separable or any(not x or x[-1].isspace() for x in keys):
+            return None
+        text = " ".join(keys)
+        sides = self.encode([text])
+        if not self.is_faithful(text, sides[0][0], sides[1][0]):
+            return None
+        ends = np.cumsum(np.fromiter((len(x.encode()) for x in keys), np.int64, len(keys)) + 1)
+        out = []
+        for (ids,), size in zip(sides, (self.size_a, self.size_b), strict=True):
+            at = np.cumsum(size[ids])
+            last = np.searchsorted(at, ends)
+            if (at[last] != ends).any():
+                return None
+            out.append((ids, np.diff(last + 1, prepend=0)))
+        return out
+
+    def ids(self, texts: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """Ids of A and of B of a space and each text, all end to end, and each text's bounds. Empty texts, and those whose
+        tokens have other bytes, have none."""
+        if len(self.numbers) > REMEMBERED:
+            self.forget()
+        parts = [_pieces(x) if self.separable else [x] * bool(x) for x in texts]
+        count = np.fromiter(map(len, parts), np.int64, len(parts))
+        number = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(parts)), np.int64, int(count.sum()))
+        if self.numbers.new:
+            self._learn(self.numbers.new)
+            self.numbers.new = []
+        good = np.ones(len(number), bool)
+        good[:] = self.faithful[number]
+        if not good.all():
+            owner = np.repeat(np.arange(len(parts)), count)
+            for k in np.unique(owner[~good]):
+                mine = owner == k
+                a, b = (side.gather(number[mine], count[k : k + 1])[0] for side in self.sides)
+                good[mine] = self.is_faithful(texts[k], a, b)
+            count = np.bincount(owner[good], minlength=len(parts))
+            number = number[good]
+        return tuple(side.gather(number, count) for side in self.sides)
+
+
+def _pieces(text: str) -> list[str]:
+    """Keys of the pieces of a space and a text: it is cut before each space that follows a character that is no white
+    space."""
+    if not text:
+        return []
+    parts = text.split(" ")
+    if not _OPEN.search(text):
+        return parts
     units, begun = [], 0
     for k, p in enumerate(parts):
         if p and not p[-1].isspace():
             units.append(" ".join(parts[begun : k + 1]))
             begun = k + 1
-    return units, "".join(" " + p for p in parts[begun:])
+    return units + [" ".join(parts[begun:])] * (begun < len(parts))
 
 
 def _byte_letters() -> dict[int, str]:
@@ -202,15 +280,8 @@ class Batch:
 
 def align(tok: Tokenizers, texts: list[str | None]) -> Batch:
     """Texts that are null or empty, or whose tokens' bytes are not those of a space and the text, have no tokens."""
-    found = tok.ids([x or "" for x in texts])
-    lists = [[np.frombuffer(x, "<u2") if t else np.zeros(0, "<u2") for x, t in zip(side, texts, strict=True)] for side in found]
-    for k, text in enumerate(texts):
-        if text:
-            whole = b" " + text.encode()
-            if any(b"".join(map(known.__getitem__, side[k].tolist())) != whole for known, side in ((tok.bytes_a, lists[0]), (tok.bytes_b, lists[1]))):
-                lists[0][k] = lists[1][k] = np.zeros(0, "<u2")
-    bounds = [np.concatenate(([0], np.cumsum([len(x) for x in side]))).astype(np.int64) for side in lists]
-    a, b = (np.concatenate([*side, np.zeros(0, "<u2")]).astype(np.int64) for side in lists)
+    (a, bound_a), (b, bound_b) = tok.ids([x or "" for x in texts])
+    bounds = (bound_a, bound_b)
     end_a, end_b = np.cumsum(tok.size_a[a]), np.cumsum(tok.size_b[b])
     full = np.flatnonzero(np.diff(bounds[0]))
     links, cut_a, cut_b = merged(end_a, end_b, bounds[0][full], bounds[0][full + 1], bounds[1][full])

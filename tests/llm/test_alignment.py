@@ -115,8 +115,13 @@ def test_pair_counts(spark):
 
 def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr(alignment, "REMEMBERED", 10)
+    monkeypatch.setattr(alignment, "_TOGETHER", 3)
     tok = alignment.Tokenizers(*PATHS)
     texts = [x or "" for x in odd_texts(seed=9)]
-    whole = tok.encode(texts)
     for at in range(0, len(texts), 7):
-        assert tok.ids(texts[at : at + 7]) == tuple(side[at : at + 7] for side in whole)
+        own = texts[at : at + 7]
+        for side, (ids, bound) in enumerate(tok.ids(own)):
+            assert [ids[i:j].tolist() for i, j in zip(bound[:-1], bound[1:], strict=True)] == [tokens(x)[side] for x in own]
+    tok.separable = False
+    (ids, _), _ = tok.ids(texts)
+    assert ids.tolist() == [k for x in texts for k in tokens(x)[0]]
