@@ -385,16 +385,17 @@ def _marks(tables: Mapping[str, DataFrame], datasets: Sequence[str]) -> DataFram
 
 def _scored_levels(tables: Mapping[str, DataFrame], datasets: Sequence[str], summary: DataFrame | None = None) -> DataFrame:
     """The level of every supply of the datasets, from a summary of its marks."""
-    if summary is None:
-        summary = supply_summary(_marks(tables, datasets), _SCORED, [], F.bool_or("has_endpoint").alias("has_endpoint"))
-
-    def rated() -> DataFrame:
-        return entity_ratings(tables, summary.filter("has_endpoint").select("pipeline"), datasets)
 
     def levels() -> DataFrame:
+        rows = summary
+        if rows is None:
+            rows = supply_summary(_marks(tables, datasets), _SCORED, [], F.bool_or("has_endpoint").alias("has_endpoint"))
+        supplied = rows.filter("has_endpoint").select("pipeline")
         # Used for three checks.
-        ratings = shared(tables, "entity-ratings", tuple(datasets), rated, write=True)
-        found = with_levels(summary.select(*_SCORED, "severity_level"), ratings, scored_organisations(tables))
+        ratings = shared(
+            tables, "entity-ratings", tuple(datasets), lambda: entity_ratings(tables, supplied, datasets), write=True
+        )
+        found = with_levels(rows.select(*_SCORED, "severity_level"), ratings, scored_organisations(tables))
         return found.withColumn("quality_level_label", label_of(F.col("quality_level")))
 
     return shared(tables, "scored-levels", tuple(datasets), levels)
