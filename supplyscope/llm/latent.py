@@ -13,8 +13,8 @@
    they hold. A query is an item, or for one of more than ``WINDOW`` words each of its passages that overlap by half;
    short items are compared with shorter passages of the texts.
 3. Check: in the text around its candidate passages, as far as the whole item reaches, the longest common
-   subsequence of words with the item must hold most of the item within one and a half times its length, and half
-   of its answer: the last sentence, with those before it until it has ``LEAST_ANSWER`` words. Where nearly all of
+   subsequence of words with the item must hold most of the item within one and a half times its length (``SHARE``, or
+   ``SHORT_SHARE`` of a short item), and half of its answer: the last sentence, with those before it until it has ``LEAST_ANSWER`` words. Where nearly all of
    the item is there, the answer is not asked for. Words are compared without punctuation at their edges.
 """
 
@@ -40,6 +40,10 @@ SHORT = ((6, 4), (12, 8), (24, 16))
 MOST_ITEMS = 1000
 COSINE, HELD, SHARE, ANSWER, NEARLY = 0.35, 0.35, 0.6, 0.5, 0.9
 LEAST_ANSWER = 5
+#: Items of fewer words than this must be there but for one word in five: three words of five are common by chance.
+SHORT_ITEM, SHORT_SHARE = 13, 0.8
+#: Words of the vocabulary handled at a time.
+_STRIP = 4096
 _SENTENCE_END = re.compile(rb"[.!?](?=[ \t\n\x0b\x0c\r])|\n")
 _BYTES = 1 << 20
 
@@ -68,6 +72,24 @@ def _known(words: np.ndarray, vocabulary: np.ndarray, sieve: np.ndarray) -> tupl
     return at[good], term[good]
 
 
+def _row_sums(rows: np.ndarray, pick: np.ndarray, group: np.ndarray, groups: int) -> np.ndarray:
+    """For each of ``groups`` groups, the sum of the rows it picks; ``group`` is ascending.
+
+    The first pick of every group is added at once, then the second, and so on: as many steps as the largest group has picks.
+    """
+    out = np.zeros((groups, rows.shape[1]), rows.dtype)
+    if not len(pick):
+        return out
+    head = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    size = np.diff(np.append(head, len(group)))
+    order = np.argsort(-size, kind="stable")
+    head, size, owner = head[order], size[order], group[head[order]]
+    longer = np.searchsorted(-size, -np.arange(size[0]), "left")  # how many groups have more than k picks
+    for k, n in enumerate(longer.tolist()):
+        out[owner[:n]] += rows[pick[head[:n] + k]]
+    return out
+
+
 def _starts(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """First words of the tiles of ``size`` words in which each text is cut, and each tile's text."""
     counts = -(-np.diff(first) // size)
@@ -130,10 +152,10 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _fit(docs: DataFrame, items: dict) -> dict:
     """Adds to a block of items the projection of word counts into the latent space and the queries' vectors there.
 
-    On the driver: sums of words x ``SKETCH`` numbers from as many tasks as one reduction leaves, and linear
-    algebra on matrices of queries x words at most.
+    On the driver: sums of words x ``SKETCH`` numbers from as many tasks as one reduction leaves, and the latent axes, words x
+    ``RANK`` numbers.
     """
-    vocabulary, counts = items["vocabulary"], items["counts"]  # of the queries
+    vocabulary = items["vocabulary"]  # of the queries
     parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_sketch(vocabulary), _SUMS)
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while partitions > 1:  # a tree of sums, so that no task reads many
@@ -151,16 +173,46 @@ def _fit(docs: DataFrame, items: dict) -> dict:
     values, vectors = np.linalg.eigh((test.T @ raw + raw.T @ test) / 2)
     good = values > max(values[-1], 0.0) * 1e-9
     corpus = ((idf[:, None] * raw) @ (vectors[:, good] / np.sqrt(values[good]))).T
-    own = counts * idf
-    own *= np.sqrt(max((corpus**2).sum(), 1.0) / max((own**2).sum(), 1e-12))
-    _, s, v = np.linalg.svd(np.vstack([corpus, own]), full_matrices=False)
-    kept = min(RANK, int((s > s[0] * 1e-6).sum()))
-    projection = (idf[:, None] * v[:kept].T / s[:kept]).astype(np.float32)
-    vectors = counts.astype(np.float32) @ projection
+    axes, s = _axes(corpus, idf, items)
+    projection = (idf[:, None] * axes / s).astype(np.float32)
+    vectors = _row_sums(projection, items["term"], items["query"], len(items["item"]))
     norms = np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
     return items | {"projection": projection, "vectors": vectors / norms, "norms": norms[:, 0], "sieve": _sieve(vocabulary)}
 
 
+def _axes(corpus: np.ndarray, idf: np.ndarray, items: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Leading right singular vectors and values of the corpus' axes and the queries' TF-IDF rows, the latter with a weight.
+
+    Of an item with more than ``MOST_ITEMS`` queries, evenly spaced ones stand for all: one passage found leads to the whole item. The
+    rows' products are summed over strips of the vocabulary, so no matrix of queries and words is ever whole.
+    """
+    bound = np.searchsorted(items["item"], np.arange(len(items["ids"]) + 1))
+    spaced = [np.linspace(a, b - 1, min(b - a, MOST_ITEMS)).astype(np.int64) for a, b in zip(bound[:-1], bound[1:], strict=True)]
+    used = np.concatenate(spaced)
+    row = np.searchsorted(used, items["query"])
+    chosen = used[np.minimum(row, len(used) - 1)] == items["query"]
+    row, term = row[chosen], items["term"][chosen]
+    order = np.argsort(term, kind="stable")
+    row, term = row[order], term[order]
+
+    def strips() -> Iterator[tuple[slice, np.ndarray]]:
+        for low in range(0, len(idf), _STRIP):
+            high = min(low + _STRIP, len(idf))
+            i, j = np.searchsorted(term, (low, high))
+            flat = row[i:j] * (high - low) + term[i:j] - low
+            own = np.bincount(flat, minlength=len(used) * (high - low)).reshape(len(used), high - low)
+            yield slice(low, high), own * idf[low:high]
+
+    weight = np.sqrt(max((corpus**2).sum(), 1.0) / max(sum((own**2).sum() for _, own in strips()), 1e-12))
+    gram = sum(m @ m.T for m in (np.vstack([corpus[:, at], weight * own]) for at, own in strips()))
+    values, left = np.linalg.eigh(gram)
+    values, left = values[::-1], left[:, ::-1]
+    kept = min(RANK, int((values > values[0] * 1e-10).sum()))
+    s = np.sqrt(values[:kept])
+    axes = np.concatenate([np.vstack([corpus[:, at], weight * own]).T @ left[:, :kept] for at, own in strips()])
+    return axes / s, s
+
+
 def _queries(words: list[np.ndarray]) -> list[tuple[int, int, int, int]]:
     """Item, first word, end and tile of each query: short items whole, others in passages that overlap by half."""
     out = []
@@ -172,7 +224,7 @@ def _queries(words: list[np.ndarray]) -> list[tuple[int, int, int, int]]:
 
 
 def _prepared(ids: list, texts: list[str]) -> dict | None:
-    """Items with words: ids, word hashes, how many of them are the answer; their vocabulary, queries and word counts."""
+    """Items with words: ids, word hashes, how many of them are the answer; their vocabulary, queries, and the terms of each query."""
     out: dict = {"ids": [], "words": [], "answer": []}
     for item_id, text in zip(ids, texts, strict=True):
         _, _, data, offsets = next(text_slices(pa.array([text])))
@@ -189,11 +241,9 @@ def _prepared(ids: list, texts: list[str]) -> dict | None:
         return None
     vocabulary = np.unique(np.concatenate(out["words"]))
     queries = _queries(out["words"])
-    counts = np.zeros((len(queries), len(vocabulary)))
-    for row, (k, a, b, _) in zip(counts, queries, strict=True):
-        np.add.at(row, np.searchsorted(vocabulary, out["words"][k][a:b]), 1)
-    item, _, _, tile = np.array(queries).T
-    return out | {"vocabulary": vocabulary, "counts": counts, "item": item, "tile": tile}
+    item, begin, end, tile = np.array(queries).T
+    term = np.searchsorted(vocabulary, np.concatenate([out["words"][k][a:b] for k, a, b, _ in queries]))
+    return out | {"vocabulary": vocabulary, "term": term, "query": np.repeat(np.arange(len(item)), end - begin), "item": item, "tile": tile}
 
 
 def _lcs(masks: dict[int, int], words: list[int], length: int) -> int:
@@ -208,8 +258,9 @@ def _lcs(masks: dict[int, int], words: list[int], length: int) -> int:
 def _check(words: np.ndarray, item: np.ndarray, answer: int) -> tuple[int, int, int] | None:
     """Common words, common words of the answer, and first word, where ``words`` hold the item best."""
     m, listed, text = len(item), item.tolist(), words.tolist()
+    least = (SHORT_SHARE if m < SHORT_ITEM else SHARE) * m
     there = set(text)
-    if sum(word in there for word in listed) < SHARE * m:
+    if sum(word in there for word in listed) < least:
         return None
     own = np.sort(item)
     place = np.minimum(np.searchsorted(own, words), m - 1)
@@ -223,10 +274,10 @@ def _check(words: np.ndarray, item: np.ndarray, answer: int) -> tuple[int, int,
     span, step, best = -(-3 * m // 2), max(1, m // 4), None
     for at in range(0, max(1, len(text) - span + step), step):
         part = text[at : at + span]
-        if known[at + len(part)] - known[at] < SHARE * m:
+        if known[at + len(part)] - known[at] < least:
             continue
         common = _lcs(masks, part, m)
-        if common >= SHARE * m and (best is None or common > best[0]):
+        if common >= least and (best is None or common > best[0]):
             last = _lcs(tail, part, answer)
             if last >= ANSWER * answer or common >= NEARLY * m:
                 best = (common, last, at)
@@ -238,11 +289,8 @@ def _candidates(words: np.ndarray, first: np.ndarray, items: dict):
     at, term = _known(words, items["vocabulary"], items["sieve"])
     size = int(items["tile"].min())
     starts, owner = _starts(first, size)
-    held = np.zeros((len(starts), items["projection"].shape[1]), np.float32)
-    if len(at):
-        tile = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(words))))[at]
-        begin = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
-        held[tile[begin]] = np.add.reduceat(items["projection"][term], begin)
+    tile = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(words))))[at]
+    held = _row_sums(items["projection"], term, tile, len(starts))
     found = []
     while True:
         k = np.flatnonzero(items["tile"] == size)
@@ -262,7 +310,9 @@ def _candidates(words: np.ndarray, first: np.ndarray, items: dict):
         head = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
         number = np.arange(len(owner)) - np.repeat(head, np.diff(np.append(head, len(owner))))
         even = np.flatnonzero(number % 2 == 0)
-        held, starts, owner, size = np.add.reduceat(held, even), starts[even], owner[even], 2 * size
+        both = even[np.r_[owner[1:] == owner[:-1], False][even]]
+        held[both] += held[both + 1]
+        held, starts, owner, size = held[even], starts[even], owner[even], 2 * size
 
 
 def _regions(at: np.ndarray, length: np.ndarray, span: int, begin: int, end: int) -> Iterator[tuple[int, int, np.ndarray]]:
