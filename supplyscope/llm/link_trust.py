@@ -10,6 +10,8 @@ without links ends there. Hosts that neither reaches are allowed.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,26 +43,28 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(_after_scheme(url), "^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def _host_rules(hosts: DataFrame, rules: tuple[tuple[str, str], ...]) -> DataFrame:
-    """The rules whose host is each host or a domain above it, longest first, as an array."""
+def fitting_rule(host: Column, path: Column, rules: tuple[tuple[str, str], ...]) -> Column:
+    """The longest rule that fits a page, as ``(size, rule, verdict)``, or null; of equally long ones the last by code point.
+
+    Rules are looked up by the host and the domains above it, of which only those with no more labels than a rule's host
+    are made, so a host of very many labels costs no more than its length. No row leaves its place for it.
+    """
     if not rules:
-        return hosts.select("host", F.expr("CAST(array() AS array<struct<size: int, rule: string, prefix: string, verdict: string>>)").alias("rules"))
-    listed = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(v).alias("verdict")) for r, v in rules])
-    table = hosts.sparkSession.range(1).select(F.inline(listed))
-    cut = F.instr("rule", "/")
-    table = table.select(
-        F.when(cut > 0, F.substring("rule", F.lit(1), cut - 1)).otherwise(F.col("rule")).alias("above"),
-        F.struct(
-            F.length("rule").alias("size"),
-            "rule",
-            F.when(cut > 0, F.substring("rule", cut, F.length("rule"))).otherwise("").alias("prefix"),
-            "verdict",
-        ).alias("x"),
-    )
-    parts = F.split("host", r"\.")
-    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, k, F.size(parts)), "."))
-    found = hosts.select("host", F.explode(above).alias("above")).join(table, "above")
-    return found.groupBy("host").agg(F.sort_array(F.collect_set("x"), asc=False).alias("rules"))
+        return F.lit(None).cast("struct<size: int, rule: string, verdict: string>")
+    by_host: dict[str, list[dict]] = {}
+    for rule, verdict in rules:
+        above, slash, rest = rule.partition("/")
+        by_host.setdefault(above, []).append({"size": len(rule), "rule": rule, "prefix": slash + rest, "verdict": verdict})
+    kind = "map<string, array<struct<size: int, rule: string, prefix: string, verdict: string>>>"
+    table = F.from_json(F.lit(json.dumps(by_host)), kind)
+    most = max(x.count(".") + 1 for x in by_host)
+    parts = F.split(host, r"\.")
+    own = F.slice(parts, F.greatest(F.lit(1), F.size(parts) - most + 1), F.lit(most))
+    above = F.transform(F.sequence(F.lit(1), F.size(own)), lambda k: F.array_join(F.slice(own, k, F.size(own)), "."))
+    found = F.flatten(F.transform(above, lambda h: F.coalesce(table[h], F.array())))
+    fits = F.filter(found, lambda r: F.startswith(path, r["prefix"]))
+    best = F.array_max(F.transform(fits, lambda r: F.struct(r["size"].alias("size"), r["rule"].alias("rule"), r["verdict"].alias("verdict"))))
+    return F.when(host != "", best)
 
 
 def host_links(pages: DataFrame) -> DataFrame:
@@ -114,14 +118,12 @@ def judged(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, ratio:
     """
     url = F.col("url").cast("string")
     base = pages.select(F.col("page_id").cast("long"), host_of(url).alias("host"), path_of(url).alias("path"), F.col("html").cast("string"))
-    places = materialise(base.select("page_id", "host", "path"), "places")
-    hosts = places.select("host").distinct()
-    ruled = places.join(_host_rules(hosts.where("host != ''"), rules), "host", "left")
-    ruled = ruled.withColumn("x", F.expr("get(filter(rules, r -> startswith(path, r.prefix)), 0)"))
+    ruled = base.select("page_id", "host", "path", fitting_rule(F.col("host"), F.col("path"), rules).alias("x"))
     ruled = materialise(ruled.select("page_id", "host", "path", F.col("x.rule").alias("rule"), F.col("x.verdict").alias("ruled")), "ruled")
     seeds = ruled.where("ruled IS NOT NULL").groupBy("host")
     seeds = seeds.agg(F.count_if(F.col("ruled") == "allow").alias("good"), F.count_if(F.col("ruled") == "block").alias("bad"))
-    scores = propagate(host_links(base), seeds, **options)
+    # Written, so that both sides of the join come from a plain shuffle and a host with very many pages can be split.
+    scores = materialise(propagate(host_links(base), seeds, **options), "scores")
     out = ruled.join(scores, "host", "left").select(
         "page_id", "host", "path", "rule", "ruled", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust")
     )

@@ -73,6 +73,20 @@ def test_rules_and_parts_of_urls(spark):
     assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in got} == dict(enumerate(rows.values()))
 
 
+def test_hosts_of_very_many_labels(spark):
+    host = "a." * 40_000
+    rows = [(1, f"http://{host}org/x", None), (2, f"http://{host}example.org/es/", None), (3, f"http://{host}", None)]
+    got = {r.page_id: (r.rule, r.verdict, len(r.host)) for r in link_trust.judged(pages(spark, rows)).collect()}
+    assert got == {1: ("org/", "allow", 80_003), 2: ("example.org/es/", "block", 80_011), 3: (None, "allow", 80_000)}
+
+
+def test_the_longest_rule_wins(spark):
+    rules = (("b.c/x", "allow"), ("c/", "block"), ("b.c/xy", "block"), ("a.b.c", "allow"), ("a.b.c/x", "block"))
+    urls = {"//b.c/x": "b.c/x", "//q.b.c/xyz": "b.c/xy", "//a.b.c/": "a.b.c", "//a.b.c/xy": "a.b.c/x", "//b.c/": "c/", "//bb.c": None, "//c": None, "//d": None}
+    got = link_trust.judged(pages(spark, [(k, f"s:{u}", None) for k, u in enumerate(urls)]), rules).collect()
+    assert {r.page_id: r.rule for r in got} == dict(enumerate(urls.values()))
+
+
 def test_messy_and_empty_pages(spark):
     rows = [(None, None, None), (1, "http://a.net/", None), (1, "http://a.net/", None), (2, "http://a.net/", "<a href=" + "x" * 200_000 + ">")]
     assert link_trust.judged(pages(spark, rows)).count() == 4
