@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections import deque
+from collections import Counter, deque
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,13 +31,33 @@ CELL_ROWS = 20_000
 
 
 def nodes(shards: int, per_shard: int) -> list[tuple[int, int]]:
-    """``(place, shard)`` of all virtual nodes in ring order; a place has one node, the lowest shard's."""
+    """``(place, shard)`` of all virtual nodes in ring order; a place has one node, the lowest shard's.
+
+    A shard of which all places are taken has one node, at the next free place clockwise; so every shard has one, or there are more
+    shards than places, which are refused.
+    """
+    if shards > 1 << RING_BITS:
+        raise ValueError(f"a ring of {1 << RING_BITS} places cannot hold {shards} shards")
     taken: dict[int, int] = {}
     for shard in range(shards):
         for k in range(per_shard):
             digest = hashlib.md5(f"shard {shard} node {k}".encode()).digest()
             place = int.from_bytes(digest[:8], "big") >> (64 - RING_BITS)
             taken.setdefault(place, shard)
+    # Shards without a node: one of a shard that has several may have to make room, as places are few.
+    left, free = set(range(shards)) - set(taken.values()), (1 << RING_BITS) - len(taken)
+    if len(left) > free:
+        many = Counter(taken.values())
+        for place, shard in sorted(taken.items(), reverse=True):
+            if many[shard] > 1 and len(left) > free:
+                del taken[place]
+                many[shard] -= 1
+                free += 1
+    for shard in sorted(left):
+        place = int.from_bytes(hashlib.md5(f"shard {shard} node 0".encode()).digest()[:8], "big") >> (64 - RING_BITS)
+        while place in taken:
+            place = (place + 1) % (1 << RING_BITS)
+        taken[place] = shard
     return sorted(taken.items())
 
 

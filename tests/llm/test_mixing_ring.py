@@ -114,3 +114,19 @@ def test_numbers_and_copies(spark):
     many = copies(spark.createDataFrame([(1, 5), (2, 0), (3, 1)], "a int, m long"), "m", "k", ["a"], piece=2)
     assert sorted(map(tuple, many.collect())) == [(1, k) for k in range(5)] + [(3, 0)]
     assert len(LONG) > 100_000
+
+
+def test_every_shard_has_a_node(monkeypatch):
+    for shards, per_shard in ((24, 64), (2000, 64), (16_384, 2)):
+        found = ring.nodes(shards, per_shard)
+        assert {s for _, s in found} == set(range(shards)) and len({p for p, _ in found}) == len(found)
+    counts = [3] * len(found)
+    pieces = ring.fill(counts, [s for _, s in found], [3] * 16_384)
+    assert sum(hi - lo for _, lo, hi, _, _ in pieces) == sum(counts)
+    with pytest.raises(ValueError, match="places"):
+        ring.nodes(16_385, 1)
+
+
+def test_many_shards(spark):
+    rows = ring.manifest(table(spark, [f"text {k}" for k in range(3000)]), 2000).collect()
+    check_shards(rows, 3000, 2000)
