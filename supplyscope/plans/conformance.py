@@ -35,6 +35,7 @@ from ..sources import Shared, materialise, read_specification, shared
 from .constants import AUTO_FIELDS, AUTO_FIELDS_UNLESS_TREE, ODP_DATASETS, SPATIAL_DATASETS
 from .supply import cohort_provisions
 
+# Columns of the reports.
 _KEYS = [
     "organisation",
     "organisation_name",

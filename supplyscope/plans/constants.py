@@ -66,6 +66,16 @@ PDF_URLS = [
 ]
 DOCUMENT_LINKS = "active document links"
 
+# What is reported of a failed URL, as group and details.
+ZIP_FINDING = ("zipped file", "file needs to be unzipped first")
+XLS_FINDING = ("XLS files", "Possible issues with opening xls file")
+NAMED_IN_URL = [(".", "file in URL"), ("-", "inferred from slug")]
+PDF_FINDING = (DOCUMENT_LINKS, "confirmed via Content-Type check")
+JSON_REFUSAL = ("auth error", "Token or authentication required (JSON error response)")
+TEXT_REFUSAL = ("auth error", "Token or authentication required (text body)")
+WRONG_TYPE = ("wfs error", "Likely invalid typeName - check WFS GetCapabilities")
+KNOWN_PDF = (DOCUMENT_LINKS, "manually flagged as pdf")
+
 NO_ENDPOINT = "No endpoint added"
 COUNTRY_SUFFIX = "-eng"
 

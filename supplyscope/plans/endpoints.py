@@ -41,7 +41,19 @@ from ..operators import (
     top_groups,
 )
 from ..sources import materialise
-from .constants import DOCUMENT_LINKS, DOCUMENT_TYPES, PDF_URLS
+from .constants import (
+    DOCUMENT_LINKS,
+    DOCUMENT_TYPES,
+    JSON_REFUSAL,
+    KNOWN_PDF,
+    NAMED_IN_URL,
+    PDF_FINDING,
+    PDF_URLS,
+    TEXT_REFUSAL,
+    WRONG_TYPE,
+    XLS_FINDING,
+    ZIP_FINDING,
+)
 
 # --- documentation -----------------------------------------------------------------------------
 
@@ -132,11 +144,14 @@ def endpoints_without_provision(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
     provided = left_on(provided, organisation, ["organisation_ref"], null_safe=True)
 
-    # What is known per endpoint comes first, while there is one row for each; then its sources.
-    with_resource = materialise(left_on(endpoint, newest_resource, ["endpoint"]), "endpoint-resources")
-    with_dataset = spread_join(with_resource, newest_dataset, ["resource"], "left", null_safe=True)
-    with_dataset = materialise(with_dataset, "endpoint-datasets")
-    owned = left_many(with_dataset, source, ["endpoint"])
+    # Each endpoint's dataset is looked up while there is one row for each; then its sources take it over. An endpoint without any
+    # resource has the dataset of the unknown resource.
+    newest_resource = materialise(newest_resource, "endpoint-resources")
+    traced = spread_join(newest_resource, newest_dataset, ["resource"], "left", null_safe=True)
+    traced = traced.select("endpoint", "dataset", F.lit(True).alias("is_traced"))
+    unknown = newest_dataset.filter(F.col("resource").isNull()).agg(F.max("dataset").alias("dataset")).scalar()
+    owned = left_on(left_many(endpoint, source, ["endpoint"]), traced, ["endpoint"])
+    owned = owned.withColumn("dataset", F.when(F.col("is_traced"), F.col("dataset")).otherwise(unknown)).drop("is_traced")
     named = left_on(owned, organisation, ["organisation_ref"], null_safe=True)
     gaps = missing_in(named, provided, ["dataset", "organisation"])
     return gaps.select("endpoint", "source", "collection", "endpoint_url", "organisation", "dataset")
@@ -192,30 +207,23 @@ def classify_failed(df: DataFrame) -> DataFrame:
     ``.docx`` link is reported by the earlier rule for ``.doc``.
     """
     url = F.lower(F.coalesce(F.trim("endpoint_url"), F.lit("")))
-    by_name = [(".zip", _finding("zipped file", "file needs to be unzipped first"))]
-    for lead, how in ((".", "file in URL"), ("-", "inferred from slug")):
+    by_name = [(".zip", _finding(*ZIP_FINDING))]
+    for lead, how in NAMED_IN_URL:
         for kind in DOCUMENT_TYPES:
-            finding = (
-                _finding("XLS files", "Possible issues with opening xls file")
-                if kind == "xls"
-                else _finding(DOCUMENT_LINKS, f"{kind} {how}")
-            )
+            finding = _finding(*XLS_FINDING) if kind == "xls" else _finding(DOCUMENT_LINKS, f"{kind} {how}")
             by_name.append((lead + kind, finding))
 
     asks_feature = url.contains("getfeature") | url.contains("wfs")
-    json_refusal = _finding("auth error", "Token or authentication required (JSON error response)")
-    text_refusal = _finding("auth error", "Token or authentication required (text body)")
-    wrong_type = _finding("wfs error", "Likely invalid typeName - check WFS GetCapabilities")
     by_probe = (
-        F.when(F.col("is_pdf"), _finding(DOCUMENT_LINKS, "confirmed via Content-Type check"))
-        .when(F.col("refused_json"), json_refusal)
-        .when(F.col("refused_text"), text_refusal)
-        .when(asks_feature & F.col("refused_feature"), wrong_type)
+        F.when(F.col("is_pdf"), _finding(*PDF_FINDING))
+        .when(F.col("refused_json"), _finding(*JSON_REFUSAL))
+        .when(F.col("refused_text"), _finding(*TEXT_REFUSAL))
+        .when(asks_feature & F.col("refused_feature"), _finding(*WRONG_TYPE))
         .otherwise(_finding(None, ""))
     )
     found = first_match(url, by_name, by_probe)
     known_pdf = F.col("endpoint_url").isin(PDF_URLS)
-    patched = F.when(known_pdf, _finding(DOCUMENT_LINKS, "manually flagged as pdf")).otherwise(found)
+    patched = F.when(known_pdf, _finding(*KNOWN_PDF)).otherwise(found)
     return df.withColumn("__found", patched).select(*df.columns, "__found.*")
 
 

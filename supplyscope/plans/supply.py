@@ -21,6 +21,7 @@ from .constants import (
     members,
 )
 
+# Columns of the reports.
 _STATUS_COLUMNS = {
     "endpoint": "endpoint",
     "endpoint_url": "endpoint_url",

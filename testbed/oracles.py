@@ -8,6 +8,7 @@ from __future__ import annotations
 from .bindings import CONFORMANCE_TOTALS, CRITERIA, LPA_CRITERIA, QUALITY_TOTALS, RESOURCE_TOTALS
 from .views import PLANS, SPATIAL, with_views
 
+# Names, labels and texts of the reports, here and in the SQL below.
 DOCUMENT = ["article-4-direction", "conservation-area-document", "tree-preservation-order"]
 ODP = SPATIAL + DOCUMENT
 COUNTED = [*ODP, "local-plan", "plan-timetable"]
