@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplyscope import plans
-from supplyscope.operators import page, page_count, page_numbers, read_page, store_ordered, union_datasets
+from supplyscope.operators import group_distinct, page, page_count, page_numbers, read_page, store_ordered, union_datasets
 from supplyscope.sources import (
     TABLES,
     dataset_slugs,
@@ -172,6 +172,13 @@ def _page_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_pages(spark, f"{path}/page=*", TABLES["resource_dataset"], "csv")
 
 
+def _owner_distincts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct endpoints, resources and collections of each organisation, unknown ones counted as one."""
+    history = tables(spark, sf_dir, "historic_endpoint")["historic_endpoint"]
+    names = {"endpoint": "endpoints", "resource": "resources", "organisation_name": "names"}
+    return group_distinct(history, ["dataset", "organisation"], names)
+
+
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = tables(spark, sf_dir, "historic_endpoint")["historic_endpoint"]
     return history.select("rowid", "endpoint", "endpoint_entry_date")
@@ -320,6 +327,7 @@ def queries() -> dict[str, Query]:
         "io_empty": _empty,
         "io_pages_records": _page_records,
         "io_pages_csv": _page_csv,
+        "owner_distincts": _owner_distincts,
         "page": _page,
         "page_last": _page_last,
         "page_numbers": _page_numbers,

@@ -631,6 +631,11 @@ SELECT endpoint, source, collection, endpoint_url, organisation, dataset,
         "io_empty": "SELECT dataset FROM dataset_registry WHERE dataset = 'no such dataset'",
         "io_pages_records": "SELECT * FROM lookup",
         "io_pages_csv": "SELECT rowid, dataset, nullif(resource, '') AS resource FROM resource_dataset",
+        "owner_distincts": """
+SELECT dataset, organisation, count(DISTINCT endpoint) + CAST(bool_or(endpoint IS NULL) AS INT) AS endpoints,
+       count(DISTINCT resource) + CAST(bool_or(resource IS NULL) AS INT) AS resources,
+       count(DISTINCT organisation_name) + CAST(bool_or(organisation_name IS NULL) AS INT) AS names
+FROM historic_endpoint GROUP BY dataset, organisation""",
         "page_last": """
 SELECT rowid, endpoint, endpoint_entry_date FROM (
   SELECT *, row_number() OVER (ORDER BY endpoint_entry_date DESC, rowid) - 1 AS nr, count(*) OVER () AS total FROM historic_endpoint)
